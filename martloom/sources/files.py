@@ -11,7 +11,8 @@ def load_csv(spark: SparkSession, location, schema: str, header: bool = False, d
     """Lines read by position into ``schema``; a bad line keeps its text in ``CORRUPT``."""
     return (
         spark.read.schema(f"{schema}, {CORRUPT} string")
-        .options(header=header, sep=delimiter, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        .options(header=header, sep=delimiter, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
+                 recursiveFileLookup=True)
         .csv(location)
     )
 
@@ -21,20 +22,21 @@ def good_rows(loaded: DataFrame) -> DataFrame:
 
 
 def rejected_rows(loaded: DataFrame) -> DataFrame:
-    # All columns are read: with the corrupt column alone Spark would parse nothing.
-    checked = loaded.withColumn("__parsed", F.struct(*[c for c in loaded.columns if c != CORRUPT]))
-    return checked.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("rejected_line"),
-        F.input_file_name().alias("source_file"),
-    )
+    """Text and file of the bad lines."""
+    # Spark refuses to read the corrupt column alone, as nothing would be
+    # parsed then; this condition is always true and needs the other columns.
+    parsed = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in loaded.columns if c != CORRUPT])) >= 0
+    return loaded.where(F.col(CORRUPT).isNotNull() & parsed).select(
+        F.col(CORRUPT).alias("rejected_line"), F.col("_metadata.file_path").alias("source_file"))
 
 
-def list_files(spark: SparkSession, location: str, name_part: str) -> DataFrame:
-    """(file_path, modified) of the files whose name holds ``name_part``; contents are not read."""
+def list_files(spark: SparkSession, location: str, key_part: str) -> DataFrame:
+    """(file_path, modified) of the files whose path holds ``key_part``; contents are not read."""
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
-        .select(F.col("path").alias("file_path"), F.col("modificationTime").alias("modified"))
-        .where(F.element_at(F.split("file_path", "/"), -1).contains(name_part))
+        .select(F.col("_metadata.file_path").alias("file_path"),
+                F.col("_metadata.file_modification_time").alias("modified"))
+        .where(F.col("file_path").contains(key_part))
     )
 
 

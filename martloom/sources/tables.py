@@ -22,6 +22,11 @@ def _versions(spark: SparkSession, location: str) -> list[int]:
     )
 
 
+def empty_like(df: DataFrame) -> DataFrame:
+    """No rows, the same columns: a table before its first load."""
+    return df.sparkSession.createDataFrame([], df.schema)
+
+
 def overwrite(df: DataFrame, location: str, partition_by: list[str] | None = None) -> None:
     """Replace a mart: one folder per mart, full overwrite."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -52,6 +57,9 @@ def append_batch(df: DataFrame, location: str, batch_id: int) -> None:
 
 
 def replace_slices(df: DataFrame, location: str, slice_column: str) -> None:
-    """Write a slice-partitioned table, replacing only the slices present in ``df``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Write a slice-partitioned table, replacing only the slices present in ``df``.
+
+    The rebalance gathers small slices into few files and splits large ones.
+    """
+    (df.hint("rebalance", slice_column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(slice_column).parquet(location))
