@@ -32,6 +32,12 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table for costly row work.  A small file is one row group, hence one task:
+        its rows are spread over the cores.  A table of many files is left as it is."""
+        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
     # --- geo events -------------------------------------------------------
 
     @cached_property
@@ -109,7 +115,7 @@ class Inputs:
     @cached_property
     def order_documents(self) -> DataFrame:
         """Orders as extended-JSON documents with one to three items."""
-        body = self.table("orders").selectExpr(
+        body = self.spread("orders", "o_orderkey").selectExpr(
             "cast(o_orderkey as string) as object_id", "o_orderdate as update_ts",
             "struct(struct(cast(o_orderkey as string) as `$oid`) as _id,"
             " case o_orderstatus when 'F' then 'CLOSED' when 'P' then 'CANCELLED' else 'OPEN' end as final_status,"
@@ -125,7 +131,7 @@ class Inputs:
     @cached_property
     def restaurant_documents(self) -> DataFrame:
         """Two versions of each restaurant; the second raises every other price."""
-        v = self.table("customer").withColumn("version", F.explode(F.sequence(F.lit(1), F.lit(2))))
+        v = self.spread("customer", "c_custkey").withColumn("version", F.explode(F.sequence(F.lit(1), F.lit(2))))
         body = v.selectExpr(
             "cast(c_custkey as string) as object_id",
             "timestampadd(MONTH, version - 1, timestamp_ntz'2022-01-01 00:00:00') as update_ts",
@@ -150,7 +156,7 @@ class Inputs:
     def outbox(self) -> DataFrame:
         """Events of the bonus system: urgent and high orders earn a bonus, urgent ones are sent twice."""
         paid = "cast(cast(o_totalprice as decimal(12,2)) + i as decimal(12,2))"
-        o = self.table("orders").withColumn(
+        o = self.spread("orders", "o_orderkey").withColumn(
             "copy", F.explode(F.expr("if(o_orderpriority = '1-URGENT', array(0, 1), array(0))")))
         body = o.selectExpr(
             "o_orderkey * 2 + copy + 1 as id", "o_orderdate as event_ts",
@@ -168,7 +174,7 @@ class Inputs:
         rate = (
             "cast(case when l_suppkey % 6 = 0 then 3 + q % 3"
             " else 5 - if(q % (1 + l_suppkey % 6) = 0, 1, 0) end as int)")
-        lines = self.table("lineitem").selectExpr("*", "cast(l_quantity as int) as q")
+        lines = self.spread("lineitem", "l_orderkey").selectExpr("*", "cast(l_quantity as int) as q")
         orders = self.table("orders").select("o_orderkey", "o_orderdate")
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
             "cast(l_orderkey as string) as order_id",
@@ -198,7 +204,7 @@ class Inputs:
     @cached_property
     def order_events(self) -> DataFrame:
         """One message per order line with one or two dishes of one kitchen; some objects are sent again."""
-        lines = self.table("lineitem")
+        lines = self.spread("lineitem", "l_orderkey")
         orders = self.table("orders")
         dish = "concat('dish ', {0}) as name"
         first, second = "l_partkey", f"floor(l_partkey / {MENU_SIZE}) * {MENU_SIZE} + (l_partkey + 3) % {MENU_SIZE}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# RFC 4122 namespace for ISO OIDs, as 16 bytes in hex (fixed value).
+# RFC 4122 namespace for ISO OIDs (fixed value).
 OID_NAMESPACE = "6ba7b8129dad11d180b400c04fd430c8"
 
 
@@ -18,8 +18,8 @@ def uuid3(*parts) -> Column:
     Parts are column names or Columns.  Nothing is put between them, which is
     unambiguous only for fixed-length parts such as UUIDs.
     """
-    text = F.concat(*[_text(p) for p in parts])
-    digest = F.md5(F.concat(F.unhex(F.lit(OID_NAMESPACE)), F.encode(text, "UTF-8")))
+    text = _text(parts[0]) if len(parts) == 1 else F.concat(*[_text(p) for p in parts])
+    digest = F.md5(F.concat(F.lit(bytearray.fromhex(OID_NAMESPACE)), text.cast("binary")))
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
     return F.concat(
         F.substring(digest, 1, 8), F.lit("-"),
@@ -30,9 +30,10 @@ def uuid3(*parts) -> Column:
     )
 
 
-def composite_key(*parts) -> Column:
-    """UUID of free-form parts, with a separator between them."""
-    spaced = [_text(parts[0])]
-    for part in parts[1:]:
-        spaced += [F.lit("|"), _text(part)]
-    return uuid3(F.concat(*spaced))
+def known_uuid3(*parts) -> Column:
+    """``uuid3`` of parts that are never NULL.
+
+    Declared non-NULL, the key needs no null check in later joins; such a
+    check would compute the whole hash once more.
+    """
+    return uuid3(*[F.coalesce(_text(p), F.lit("")) for p in parts])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def address_parts(full_address) -> dict[str, Column]:
@@ -25,3 +25,19 @@ def document_time(field) -> Column:
     """Value of an extended-JSON date (``{"$date": "…Z"}``) as UTC wall-clock time."""
     text = (F.col(field) if isinstance(field, str) else field).getField("$date")
     return F.to_timestamp_ntz(F.regexp_replace(text, "Z$", ""))
+
+
+def with_document(df: DataFrame, text: str, schema: str, into: str = "doc") -> DataFrame:
+    """Add a JSON text as a struct column; text that is not valid gives a struct of NULLs.
+
+    Exploding an array of one struct parses each text exactly once: filters
+    and projections on the fields are not merged with the parser, which would
+    otherwise run again for each of them.
+    """
+    return df.select("*", F.explode(F.array(F.from_json(F.col(text).cast("string"), schema))).alias(into))
+
+
+def with_parsed(df: DataFrame, text: str, schema: str, keep: list[str] | None = None) -> DataFrame:
+    """Add the fields of a JSON text as columns, next to all or only the ``keep`` columns."""
+    kept = df.columns if keep is None else keep
+    return with_document(df, text, schema, "__doc").select(*kept, "__doc.*")

@@ -259,6 +259,7 @@ def _messenger() -> dict[str, str]:
         "vault_sat_group_name": f"select {_id('id')} as hk_group_id, 'group ' || id as group_name, {S3} from grp",
         "vault_sat_group_private": f"select {_id('id')} as hk_group_id, id % 4 = 0 as is_private, {S3} from grp",
         "vault_sat_auth_history": f"select hk_l_user_group_activity, user_id_from, event, event_dt, {S3} from sah",
+        "vault_rerun_no_double": f"select *, {S3} from hu",
         "oldest_groups": f"select *, {S3} from top",
         "oldest_groups_semi": "select * from added where hk_group_id in (select hk_group_id from top)",
         "group_added_users": "select * from added",
@@ -337,6 +338,8 @@ def _couriers() -> dict[str, str]:
         "fact_deliveries": f"select {_id('order_id')} as order_id, {_id('delivery_id')} as delivery_id,"
                            f" {_id('courier_id')} as courier_id, order_ts, rate,"
                            " cast(order_sum as double) as order_sum, cast(tip_sum as double) as tip_sum from d",
+        "unmatched_keys": f"select 'courier_id' as key_name, {_id('courier_id')} as key_value from c"
+                          f" where starts_with(name, '{PLACEHOLDER_PREFIX}')",
         "api_incremental_landing": "select distinct delivery_id,"
                                    " strftime(delivery_ts, '%Y-%m-%d %H:%M:%S') || '.250000' as delivery_ts from d",
     }
@@ -465,7 +468,7 @@ def _orders() -> dict[str, str]:
         "vault2_l_product_restaurant": linked("product_restaurant", "p", "r"),
         "vault2_l_product_category": linked("product_category", "p", "c"),
         "vault2_l_order_user": linked("order_user", "o", "u"),
-        "vault2_s_order_cost": f"select distinct {_uuid('o || cast(cost as varchar) || cast(payment as varchar)')}"
+        "vault2_s_order_cost": f"select distinct {_uuid("o || cast(cost as varchar) || '|' || cast(payment as varchar)")}"
                                " as hk_order_cost_pk, o as h_order_pk, cast(cost as double) as cost,"
                                f" cast(payment as double) as payment, {KAFKA} from lines",
         "vault2_s_order_status": f"select distinct {_uuid('o || status')} as hk_order_status_pk, o as h_order_pk,"
@@ -474,7 +477,7 @@ def _orders() -> dict[str, str]:
                                   f" p as h_product_pk, product_name as name, {KAFKA} from lines",
         "vault2_s_restaurant_names": f"select distinct {_uuid('r || restaurant_name')} as hk_restaurant_names_pk,"
                                      f" r as h_restaurant_pk, restaurant_name as name, {KAFKA} from lines",
-        "vault2_s_user_names": f"select distinct {_uuid('u || username || userlogin')} as hk_user_names_pk,"
+        "vault2_s_user_names": f"select distinct {_uuid("u || username || '|' || userlogin")} as hk_user_names_pk,"
                                f" u as h_user_pk, username, userlogin, {KAFKA} from lines",
         "user_product_counters": products,
         "user_category_counters": categories,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom import schemas
 from martloom.functions.keys import uuid3
-from martloom.functions.text import address_parts
+from martloom.functions.text import address_parts, with_parsed
 from martloom.operators.joins import with_placeholders
 from martloom.operators.writes import first_per_key
 
@@ -20,8 +20,8 @@ DEFAULT_CITY = "Moscow"
 
 
 def parse_couriers(landed: DataFrame) -> DataFrame:
-    parsed = landed.select(F.from_json("content", schemas.COURIER).alias("c"))
-    named = parsed.select(F.col("c._id").alias("courier_id"), F.col("c.name").alias("name"))
+    parsed = with_parsed(landed, "content", schemas.COURIER, keep=[])
+    named = parsed.withColumnRenamed("_id", "courier_id")
     return first_per_key(named.where("courier_id is not null"), ["courier_id"], [F.col("name")])
 
 
@@ -32,7 +32,7 @@ def parse_restaurants(landed: DataFrame) -> DataFrame:
 
 
 def parse_deliveries(landed: DataFrame) -> DataFrame:
-    parsed = landed.select(F.from_json("content", schemas.DELIVERY).alias("d")).select("d.*")
+    parsed = with_parsed(landed, "content", schemas.DELIVERY, keep=[])
     return parsed.withColumns({
         "order_ts": F.to_timestamp_ntz("order_ts"), "delivery_ts": F.to_timestamp_ntz("delivery_ts")})
 

@@ -47,15 +47,20 @@ def city_stays(located: DataFrame) -> DataFrame:
 
 
 def home_city(stays: DataFrame, home_days: int = 27) -> DataFrame:
-    """Last city with a stay of at least ``home_days``; without one, the city of the longest stay."""
+    """Last city with a stay of at least ``home_days``; without one, the city of the longest stay.
+
+    Also the number of visits to cities, which falls out of the same aggregate.
+    """
     per_city = stays.groupBy("user_id", "city").agg(
-        F.max("duration").alias("longest"), F.max(F.struct(*IN_TIME)).alias("latest"))
+        F.max("duration").alias("longest"), F.max(F.struct(*IN_TIME)).alias("latest"),
+        F.count(F.lit(1)).alias("visits"))
     long_stay = F.col("longest") >= home_days
     return (
         per_city.groupBy("user_id")
         .agg(F.max_by("city", F.when(long_stay, F.col("latest"))).alias("lived_in"),
-             F.max_by("city", F.struct("longest", "latest")).alias("stayed_longest"))
-        .select("user_id", F.coalesce("lived_in", "stayed_longest").alias("home_city")))
+             F.max_by("city", F.struct("longest", "latest")).alias("stayed_longest"),
+             F.sum("visits").alias("travel_count"))
+        .select("user_id", F.coalesce("lived_in", "stayed_longest").alias("home_city"), "travel_count"))
 
 
 def travel_history(stays: DataFrame) -> DataFrame:
@@ -84,13 +89,10 @@ def user_geo_stats(events: DataFrame, zones: DataFrame, home_days: int = 27, pag
     """One row per user (and travel page): actual and home city, visits, local time."""
     located = located_messages(events, zones)
     stays = city_stays(located)
-    history = travel_history(stays)
-    count = history.groupBy("user_id").agg(F.max("visit_no").alias("travel_count"))
     return (
         home_city(stays, home_days)
-        .join(count, "user_id")
         .join(actual_city(located), "user_id")
-        .join(travel_pages(history, page_size), "user_id")
+        .join(travel_pages(travel_history(stays), page_size), "user_id")
         .withColumn("local_time", local_time(F.col("ts"), F.col("timezone")))
         .select("user_id", "act_city", "home_city", "travel_count", "travel_page", "travel_array", "local_time"))
 

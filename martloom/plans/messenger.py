@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martloom.functions.keys import uuid3
 from martloom.operators.ordered import changes, hourly
 from martloom.operators.vault import hub, lineage, link, satellite
 
@@ -24,47 +23,38 @@ def messenger_vault(
 ) -> dict[str, DataFrame]:
     """All hubs, links and satellites by name."""
     load = lineage(load_dt, load_src)
-    log = event_changes(group_log).withColumns(
-        {"hk_user_id": uuid3("user_id"), "hk_group_id": uuid3("group_id")})
-    users = users.withColumn("hk_user_id", uuid3("id"))
-    groups = groups.withColumns({
-        "hk_group_id": uuid3("id"), "hk_user_id": uuid3("admin_id"), "admin_from": F.col("registration_dt"),
-        "is_admin": F.lit(True)})
+    users = users.withColumnRenamed("id", "user_id")
+    groups = groups.withColumnsRenamed({"id": "group_id", "admin_id": "user_id"})
     dialogs = dialogs.withColumns({
-        "hk_message_id": uuid3("message_id"), "hk_user_id": uuid3("message_from"),
-        "hk_group_id": uuid3("message_group")})
+        "datetime": F.col("message_ts"), "user_id": F.col("message_from"), "group_id": F.col("message_group")})
+    user, group, message = {"hk_user_id": "user_id"}, {"hk_group_id": "group_id"}, {"hk_message_id": "message_id"}
 
     t: dict[str, DataFrame] = {}
-    t["hub_users"] = hub(
-        users.withColumnRenamed("id", "user_id"), "hk_user_id", ["user_id"], ["registration_dt"], load)
-    t["hub_messages"] = hub(
-        dialogs.withColumnRenamed("message_ts", "datetime"), "hk_message_id", ["message_id"], ["datetime"], load)
-    t["hub_groups"] = hub(
-        groups.withColumnRenamed("id", "group_id"), "hk_group_id", ["group_id"], ["registration_dt"], load)
-
-    t["link_admins"] = link(
-        groups, "hk_l_admin_id", [("hk_group_id", None), ("hk_user_id", t["hub_users"])], load)
-    t["link_user_message"] = link(
-        dialogs, "hk_l_user_message", [("hk_user_id", t["hub_users"]), ("hk_message_id", None)], load)
-    t["link_group_message"] = link(
-        dialogs, "hk_l_groups_dialogs", [("hk_group_id", t["hub_groups"]), ("hk_message_id", None)], load)
-    t["link_user_group"] = link(
-        log, "hk_l_user_group_activity",
-        [("hk_group_id", t["hub_groups"]), ("hk_user_id", t["hub_users"])], load)
+    t["hub_users"] = hub(users, "hk_user_id", "user_id", ["registration_dt"], load)
+    t["hub_messages"] = hub(dialogs, "hk_message_id", "message_id", ["datetime"], load)
+    t["hub_groups"] = hub(groups, "hk_group_id", "group_id", ["registration_dt"], load)
+    # A parent that comes from the same staging table exists by construction.
+    known_user, known_group = {"user_id": t["hub_users"]}, {"group_id": t["hub_groups"]}
+    known_both = {**known_group, **known_user}
+
+    t["link_admins"] = link(groups, "hk_l_admin_id", {**group, **user}, load, known_user)
+    t["link_user_message"] = link(dialogs, "hk_l_user_message", {**user, **message}, load, known_user)
+    t["link_group_message"] = link(dialogs, "hk_l_groups_dialogs", {**group, **message}, load, known_group)
+    # The change filter keeps the first event of every user and group, so the
+    # raw log has the same pairs as the cleaned one.
+    t["link_user_group"] = link(group_log, "hk_l_user_group_activity", {**group, **user}, load, known_both)
 
     t["sat_admins"] = satellite(
-        groups.withColumn("hk_admin_id", uuid3("hk_group_id", "hk_user_id")),
-        "hk_admin_id", ["is_admin", "admin_from"], load,
-        owner=t["link_admins"].withColumnRenamed("hk_l_admin_id", "hk_admin_id"))
-    t["sat_dialog"] = satellite(dialogs, "hk_message_id", ["message", "message_from", "message_to"], load)
-    t["sat_socdem"] = satellite(users, "hk_user_id", ["country", "age"], load)
-    t["sat_chatinfo"] = satellite(users, "hk_user_id", ["chat_name"], load)
-    t["sat_group_name"] = satellite(groups, "hk_group_id", ["group_name"], load)
-    t["sat_group_private"] = satellite(groups, "hk_group_id", ["is_private"], load)
+        groups.withColumns({"is_admin": F.lit(True), "admin_from": F.col("registration_dt")}),
+        {**group, **user}, ["is_admin", "admin_from"], load, known_user, link_key="hk_admin_id")
+    t["sat_dialog"] = satellite(dialogs, message, ["message", "message_from", "message_to"], load)
+    t["sat_socdem"] = satellite(users, user, ["country", "age"], load)
+    t["sat_chatinfo"] = satellite(users, user, ["chat_name"], load)
+    t["sat_group_name"] = satellite(groups, group, ["group_name"], load)
+    t["sat_group_private"] = satellite(groups, group, ["is_private"], load)
     t["sat_auth_history"] = satellite(
-        log.withColumns({
-            "hk_l_user_group_activity": uuid3("hk_group_id", "hk_user_id"), "event_dt": F.col("event_dt")}),
-        "hk_l_user_group_activity", ["user_id_from", "event", "event_dt"], load, owner=t["link_user_group"])
+        event_changes(group_log), {**group, **user}, ["user_id_from", "event", "event_dt"], load, known_both,
+        link_key="hk_l_user_group_activity")
     return t
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom import schemas
 from martloom.functions.keys import uuid3
+from martloom.functions.text import with_parsed
 from martloom.operators.vault import hub, lineage, link, satellite
 
 LOAD_SRC = "Kafka-stg-service-orders"
@@ -15,13 +16,10 @@ NO_CATEGORY = "unknown"
 
 def parse_order_events(messages: DataFrame) -> DataFrame:
     """Message texts (column ``value``) to raw order rows; the payload stays text."""
-    parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), schemas.ORDER_EVENT).alias("m"),
-        F.get_json_object(F.col("value").cast("string"), "$.payload").alias("payload_text"))
-    return parsed.where("m.object_id is not null").select(
-        F.col("m.object_id").alias("object_id"), F.col("m.object_type").alias("object_type"),
-        F.to_timestamp_ntz("m.sent_dttm").alias("sent_dttm"),
-        F.col("m.payload").alias("payload"), "payload_text")
+    parsed = with_parsed(messages, "value", schemas.ORDER_EVENT, keep=["value"]).where("object_id is not null")
+    return parsed.select(
+        "object_id", "object_type", F.to_timestamp_ntz("sent_dttm").alias("sent_dttm"), "payload",
+        F.get_json_object("value", "$.payload").alias("payload_text"))
 
 
 def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> DataFrame:
@@ -62,14 +60,13 @@ def to_messages(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def parse_enriched(messages: DataFrame) -> DataFrame:
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), schemas.ENRICHED_ORDER).alias("m")).select("m.*")
+    return with_parsed(messages, "value", schemas.ENRICHED_ORDER, keep=[])
 
 
 def order_lines(enriched: DataFrame) -> DataFrame:
-    """One row per product of each order, with all vault keys and attributes."""
+    """One row per product of each order, with its business keys and attributes."""
     p = "payload"
-    lines = enriched.select(
+    return enriched.select(
         F.col(f"{p}.id").alias("order_id"), F.to_timestamp_ntz(f"{p}.date").alias("order_dt"),
         F.col(f"{p}.cost").alias("cost"), F.col(f"{p}.payment").alias("payment"),
         F.col(f"{p}.status").alias("status"),
@@ -82,39 +79,35 @@ def order_lines(enriched: DataFrame) -> DataFrame:
         "*", F.col("product.id").alias("product_id"), F.col("product.name").alias("product_name"),
         F.col("product.category").alias("category_name"), F.col("product.quantity").alias("quantity"),
     ).drop("product")
-    return lines.withColumns({
-        "h_order_pk": uuid3("order_id"), "h_user_pk": uuid3("user_id"),
-        "h_restaurant_pk": uuid3("restaurant_id"), "h_product_pk": uuid3("product_id"),
-        "h_category_pk": uuid3("category_name")})
+
+
+BUSINESS_KEY = {
+    "user": "user_id", "product": "product_id", "category": "category_name",
+    "restaurant": "restaurant_id", "order": "order_id"}
+LINKS = ["order_product", "product_restaurant", "product_category", "order_user"]
+# Satellite: hub it belongs to, and line column -> satellite column.
+SATELLITES = {
+    "order_cost": ("order", {"cost": "cost", "payment": "payment"}),
+    "order_status": ("order", {"status": "status"}),
+    "product_names": ("product", {"product_name": "name"}),
+    "restaurant_names": ("restaurant", {"restaurant_name": "name"}),
+    "user_names": ("user", {"username": "username", "userlogin": "userlogin"}),
+}
 
 
 def order_vault(lines: DataFrame, load_dt: str | Column, load_src: str = LOAD_SRC) -> dict[str, DataFrame]:
     """The fourteen vault tables by name."""
     load = lineage(load_dt, load_src)
-    hubs = {
-        "user": ("user_id", []), "product": ("product_id", []), "category": ("category_name", []),
-        "restaurant": ("restaurant_id", []), "order": ("order_id", ["order_dt"])}
-    links = ["order_product", "product_restaurant", "product_category", "order_user"]
-    satellites = {
-        "order_cost": ("order", {"cost": "cost", "payment": "payment"}),
-        "order_status": ("order", {"status": "status"}),
-        "product_names": ("product", {"product_name": "name"}),
-        "restaurant_names": ("restaurant", {"restaurant_name": "name"}),
-        "user_names": ("user", {"username": "username", "userlogin": "userlogin"})}
-
     t: dict[str, DataFrame] = {}
-    for name, (business, carried) in hubs.items():
-        t[f"h_{name}"] = hub(lines, f"h_{name}_pk", [business], carried, load)
-    for name in links:
-        parents = [(f"h_{part}_pk", None) for part in name.split("_")]
+    for name, business in BUSINESS_KEY.items():
+        t[f"h_{name}"] = hub(lines, f"h_{name}_pk", business, ["order_dt"] if name == "order" else [], load)
+    for name in LINKS:
+        parents = {f"h_{part}_pk": BUSINESS_KEY[part] for part in name.split("_")}
         t[f"l_{name}"] = link(lines, f"hk_{name}_pk", parents, load)
-    for name, (owner, payload) in satellites.items():
-        parent = f"h_{owner}_pk"
-        # The parent key and every payload column make the key, so any change is kept.
-        key_from = [parent, *[F.coalesce(F.col(new).cast("string"), F.lit("")) for new in payload.values()]]
-        stage = lines.select(parent, *[F.col(old).alias(new) for old, new in payload.items()])
+    for name, (owner, payload) in SATELLITES.items():
+        stage = lines.select(BUSINESS_KEY[owner], *[F.col(old).alias(new) for old, new in payload.items()])
         t[f"s_{name}"] = satellite(
-            stage, parent, list(payload.values()), load, key=f"hk_{name}_pk", key_from=key_from)
+            stage, {f"h_{owner}_pk": BUSINESS_KEY[owner]}, list(payload.values()), load, own_key=f"hk_{name}_pk")
     return t
 
 
@@ -127,12 +120,18 @@ def primary_key(table: str) -> str:
 def counter_messages(lines: DataFrame) -> DataFrame:
     """One row per product of each order, as the counters need it."""
     return lines.where("product_id is not null").select(
-        F.col("h_user_pk").alias("user_id"), F.col("h_product_pk").alias("product_id"), "product_name",
-        F.col("h_category_pk").alias("category_id"), "category_name",
-        F.col("h_order_pk").alias("order_id"))
+        uuid3("user_id").alias("user_id"), uuid3("product_id").alias("product_id"), "product_name",
+        uuid3("category_name").alias("category_id"), "category_name", uuid3("order_id").alias("order_id"))
 
 
-def order_counters(messages: DataFrame, by: str) -> DataFrame:
-    """Distinct orders per user and ``product`` or ``category``."""
-    return messages.groupBy("user_id", f"{by}_id").agg(
-        F.min(f"{by}_name").alias(f"{by}_name"), F.count_distinct("order_id").alias("order_cnt"))
+def order_counters(lines: DataFrame, by: str) -> DataFrame:
+    """Distinct orders per user and ``product`` or ``category``.
+
+    Counted on the business keys; only the counters are hashed.
+    """
+    business, name = BUSINESS_KEY[by], f"{by}_name"
+    names = [] if business == name else [F.min(name).alias(name)]
+    counted = lines.where(F.col("product_id").isNotNull()).groupBy("user_id", business).agg(
+        F.count_distinct("order_id").alias("order_cnt"), *names)
+    return counted.select(
+        uuid3("user_id").alias("user_id"), uuid3(business).alias(f"{by}_id"), name, "order_cnt")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom import schemas
 from martloom.functions.keys import uuid3
-from martloom.functions.text import document_id, document_time
+from martloom.functions.text import document_id, document_time, with_document
 from martloom.operators.writes import OPEN_END, first_per_key, versioned
 
 SETTLED = ["CLOSED", "CANCELLED"]
@@ -19,13 +19,9 @@ PROCESSING_FEE = "0.25"
 REWARD_SHARE = "0.75"
 
 
-def _parsed(documents: DataFrame, schema: str) -> DataFrame:
-    return documents.withColumn("doc", F.from_json("object_value", schema))
-
-
 def dim_users(documents: DataFrame) -> DataFrame:
     latest = first_per_key(documents, ["object_id"], [F.desc("update_ts"), F.desc("object_value")])
-    return _parsed(latest, schemas.USER_DOC).select(
+    return with_document(latest, "object_value", schemas.USER_DOC).select(
         uuid3("object_id").alias("id"),
         F.col("object_id").alias("user_id"),
         F.col("doc.name").alias("user_name"),
@@ -35,7 +31,7 @@ def dim_users(documents: DataFrame) -> DataFrame:
 
 def dim_restaurants(documents: DataFrame) -> DataFrame:
     """One row per restaurant, valid from its first document on, with its latest name."""
-    parsed = _parsed(documents, schemas.RESTAURANT_DOC)
+    parsed = with_document(documents, "object_value", schemas.RESTAURANT_DOC)
     return (
         parsed.groupBy("object_id")
         .agg(F.max_by("doc.name", F.struct("update_ts", "object_value")).alias("restaurant_name"),
@@ -50,7 +46,7 @@ def dim_restaurants(documents: DataFrame) -> DataFrame:
 
 def dim_products(documents: DataFrame) -> DataFrame:
     """Menu items of all restaurant documents as non-overlapping price versions."""
-    items = _parsed(documents, schemas.RESTAURANT_DOC).select(
+    items = with_document(documents, "object_value", schemas.RESTAURANT_DOC).select(
         F.col("object_id").alias("restaurant_id"), "update_ts", F.explode("doc.menu").alias("item"))
     rows = items.select(
         "restaurant_id",
@@ -66,7 +62,8 @@ def dim_products(documents: DataFrame) -> DataFrame:
 
 def settled_orders(documents: DataFrame) -> DataFrame:
     """Parsed order documents in a final status."""
-    return _parsed(documents, schemas.ORDER_DOC).where(F.col("doc.final_status").isin(SETTLED)).select(
+    parsed = with_document(documents, "object_value", schemas.ORDER_DOC)
+    return parsed.where(F.col("doc.final_status").isin(SETTLED)).select(
         F.col("object_id").alias("order_key"),
         F.col("doc.final_status").alias("order_status"),
         document_id("doc.user.id").alias("user_key"),
@@ -102,8 +99,8 @@ def fact_product_sales(documents: DataFrame, bonus_events: DataFrame) -> DataFra
     """
     bonus = first_per_key(
         bonus_events.where("event_type = 'bonus_transaction'")
-        .select("id", F.from_json("event_value", schemas.BONUS_EVENT).alias("b"))
-        .select(F.col("b.order_id").alias("order_key"), "id", F.col("b.product_payments").alias("payments"))
+        .transform(with_document, "event_value", schemas.BONUS_EVENT)
+        .select(F.col("doc.order_id").alias("order_key"), "id", F.col("doc.product_payments").alias("payments"))
         .where("order_key is not null"),
         ["order_key"], [F.col("id")],
     ).drop("id")

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martloom import schemas
 from martloom.bindings import AS_OF, CAMPAIGN_NOW, LOAD_DT, Inputs
+from martloom.functions.keys import uuid3
 from martloom.operators import state as load_state
+from martloom.operators.joins import orphans
 from martloom.operators.nearest import nearest_zone
 from martloom.operators.pairs import channel_members, channel_pairs, contact_pairs, never_contacted
 from martloom.operators.writes import (
@@ -139,6 +141,17 @@ def fact_deliveries(i: Inputs) -> DataFrame:
     return couriers.fact_deliveries(_delivery_tables(i)[0])
 
 
+@_query
+def unmatched_keys(i: Inputs) -> DataFrame:
+    """Keys of the delivery fact that no dimension has before placeholders are added."""
+    deliveries = couriers.parse_deliveries(i.delivery_content)
+    known = couriers.parse_couriers(i.courier_content).select(uuid3("courier_id").alias("courier_id"))
+    return orphans(couriers.fact_deliveries(deliveries), {
+        "courier_id": known,
+        "order_id": couriers.dim_delivery_orders(deliveries).select(F.col("id").alias("order_id")),
+        "delivery_id": couriers.dim_deliveries(deliveries).select(F.col("id").alias("delivery_id"))})
+
+
 @_query
 def dim_users(i: Inputs) -> DataFrame:
     return settlement.dim_users(i.user_documents)
@@ -193,6 +206,17 @@ for _name in VAULT_B:
     _QUERIES[f"vault_{_name}"] = lambda i, name=_name: _messenger(i)[name]
 
 
+@_query
+def vault_rerun_no_double(i: Inputs) -> DataFrame:
+    """A hub loaded for some users, then for all, then for all again: every key is there once."""
+    where = work_dir(i.spark, "hub")
+    early = i.users.where(F.col("registration_dt") < F.lit("2021-06-01").cast("timestamp_ntz"))
+    for batch, users in enumerate((early, i.users, i.users)):
+        vault = messenger.messenger_vault(users, i.groups, i.dialogs, i.group_log, LOAD_DT)
+        tables.append_new(vault["hub_users"], where, ["hk_user_id"], batch)
+    return i.spark.read.parquet(where).drop("batch_id")
+
+
 @_query
 def oldest_groups(i: Inputs) -> DataFrame:
     return messenger.oldest_groups(_messenger(i)["hub_groups"])
@@ -287,7 +311,7 @@ def city_stays(i: Inputs) -> DataFrame:
 
 @_query
 def home_city(i: Inputs) -> DataFrame:
-    return geo_marts.home_city(_stays(i))
+    return geo_marts.home_city(_stays(i)).select("user_id", "home_city")
 
 
 @_query
@@ -388,14 +412,12 @@ for _name in VAULT_E:
 
 @_query
 def user_product_counters(i: Inputs) -> DataFrame:
-    lines = order_vault.order_lines(_enriched(i))
-    return order_vault.order_counters(order_vault.counter_messages(lines), "product")
+    return order_vault.order_counters(order_vault.order_lines(_enriched(i)), "product")
 
 
 @_query
 def user_category_counters(i: Inputs) -> DataFrame:
-    lines = order_vault.order_lines(_enriched(i))
-    return order_vault.order_counters(order_vault.counter_messages(lines), "category")
+    return order_vault.order_counters(order_vault.order_lines(_enriched(i)), "category")
 
 
 # --- loads and write semantics --------------------------------------------------------
@@ -497,7 +519,7 @@ def api_snapshot_landing(i: Inputs) -> DataFrame:
     where = work_dir(i.spark, "couriers")
     i.courier_content.write.text(f"{where}/landed/1")
     i.courier_content.write.text(f"{where}/landed/2")
-    loaded = tables.empty_like(i.courier_content).withColumn("load_ts", F.lit(LOAD_DT).cast("timestamp_ntz"))
+    loaded = i.spark.createDataFrame([], documents.LANDED)
     landed = documents.read_landed(i.spark, f"{where}/landed/*")
     stamp = F.lit(LOAD_DT).cast("timestamp_ntz")
     tables.append_batch(documents.api_snapshot(landed, loaded, stamp), f"{where}/stg", 1)
@@ -515,7 +537,7 @@ def api_incremental_landing(i: Inputs) -> DataFrame:
     i.delivery_content.where(early).write.text(f"{where}/landed/1")
     i.delivery_content.write.text(f"{where}/landed/2")
     stamp = F.lit(LOAD_DT).cast("timestamp_ntz")
-    loaded = tables.empty_like(i.delivery_content).withColumn("load_ts", stamp)
+    loaded = i.spark.createDataFrame([], documents.LANDED)
     state = load_state.empty(i.spark)
     for run in (1, 2):
         landed = documents.read_landed(i.spark, f"{where}/landed/{run}")

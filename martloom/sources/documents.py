@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom import schemas
+from martloom.functions.text import with_parsed
 from martloom.operators import state as load_state
 from martloom.operators.writes import first_per_key, new_rows, upsert_last_wins
 
@@ -34,10 +35,16 @@ def documents_increment(
     return merged, load_state.advance(state, moved)
 
 
+LANDED = "content_key string, content string, load_ts timestamp_ntz"
+
+
 def api_snapshot(landed: DataFrame, loaded: DataFrame, load_ts: Column) -> DataFrame:
-    """Payload rows whose content is not loaded yet."""
-    stamped = landed.withColumn("load_ts", load_ts)
-    return new_rows(loaded, stamped, ["content"], [F.col("load_ts")]).select(loaded.columns)
+    """Payload rows (``LANDED``) whose content is not loaded yet.
+
+    Contents are compared by their digest, so the loaded texts are not read again.
+    """
+    stamped = landed.withColumns({"content_key": F.sha2("content", 256), "load_ts": load_ts})
+    return new_rows(loaded, stamped, ["content_key"], [F.col("load_ts")]).select(loaded.columns)
 
 
 def api_increment(
@@ -60,8 +67,7 @@ def api_increment(
 
 def parse_envelopes(messages: DataFrame) -> DataFrame:
     """Mixed message texts (column ``value``) to envelope columns; the payload stays text."""
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), schemas.ENVELOPE).alias("e")).select("e.*")
+    return with_parsed(messages, "value", schemas.ENVELOPE, keep=[])
 
 
 def envelope_rows(envelopes: DataFrame, object_type: str, schema: str, load_src: str, load_dt: Column) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from martloom.operators.writes import new_rows
 
 VERSION = "version="
 
@@ -29,19 +31,22 @@ def empty_like(df: DataFrame) -> DataFrame:
 
 def overwrite(df: DataFrame, location: str, partition_by: list[str] | None = None) -> None:
     """Replace a mart: one folder per mart, full overwrite."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(location)
 
 
-def publish(df: DataFrame, location: str) -> int:
+def publish(df: DataFrame, location: str, sort_by: list[str] | None = None) -> int:
     """Write the next version of a table; readers keep the old one until it is complete.
 
-    A job that dies half-way leaves a folder without a success marker, which
+    ``sort_by`` orders each file, so that readers skip row groups by min/max.  A job that dies half-way leaves a folder without a success marker, which
     readers skip and the next run overwrites.  One writer per table.
     """
     spark = df.sparkSession
     version = max(_versions(spark, location), default=0) + 1
-    df.write.mode("overwrite").parquet(f"{location}/{VERSION}{version}")
+    ordered = df.sortWithinPartitions(*sort_by) if sort_by else df
+    ordered.write.mode("overwrite").parquet(f"{location}/{VERSION}{version}")
     return version
 
 
@@ -56,6 +61,27 @@ def append_batch(df: DataFrame, location: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{location}/batch_id={batch_id}")
 
 
+def append_new(df: DataFrame, location: str, keys: list[str], batch_id: int) -> None:
+    """Append the rows whose key no earlier batch has brought; only keys are read back.
+
+    Batches count from 0.
+    """
+    spark = df.sparkSession
+    schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys) + ", batch_id int"
+    earlier = (
+        spark.read.schema(schema).option("basePath", location).parquet(f"{location}/batch_id=*")
+        .where(F.col("batch_id") < batch_id)
+        if batch_id > 0 else spark.createDataFrame([], schema))
+    append_batch(new_rows(earlier, df, keys, [F.col(keys[0])]), location, batch_id)
+
+
+def save_bucketed(df: DataFrame, name: str, location: str, key: str, buckets: int) -> DataFrame:
+    """Catalog table bucketed and sorted by ``key``: joins on it need no shuffle of either side."""
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", location)
+       .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def replace_slices(df: DataFrame, location: str, slice_column: str) -> None:
     """Write a slice-partitioned table, replacing only the slices present in ``df``.
 

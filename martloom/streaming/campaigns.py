@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom import schemas
+from martloom.functions.text import with_parsed
 from martloom.operators.joins import salted_join
 from martloom.operators.writes import first_per_key
 
@@ -17,12 +18,9 @@ CAMPAIGN_KEY = ["restaurant_id", "adv_campaign_id"]
 
 def parse_campaigns(messages: DataFrame) -> DataFrame:
     """Broker messages to campaign columns; a message that is not valid JSON gives NULLs."""
-    return (
-        messages.withColumn("value", F.col("value").cast("string"))
-        .withColumnRenamed("timestamp", "org_timestamp")
-        .withColumn("json_value", F.from_json("value", schemas.CAMPAIGN))
-        .select("*", "json_value.*")
-        .drop("json_value"))
+    texts = messages.withColumn("value", F.col("value").cast("string")).withColumnRenamed(
+        "timestamp", "org_timestamp")
+    return with_parsed(texts, "value", schemas.CAMPAIGN)
 
 
 def active_campaigns(campaigns: DataFrame, now: int | None = None) -> DataFrame:
