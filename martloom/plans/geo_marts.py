@@ -8,6 +8,7 @@ from martloom.functions.geo import local_time
 from martloom.operators.nearest import nearest_zone
 from martloom.operators.ordered import changes, hourly, with_last_known, with_neighbour, with_position
 from martloom.operators.pairs import channel_members, channel_pairs, contact_pairs, never_contacted
+from martloom.session import stored
 from martloom.sources.events import flatten_events
 
 IN_TIME = ["ts", "event_id"]
@@ -88,7 +89,7 @@ def actual_city(located: DataFrame) -> DataFrame:
 def user_geo_stats(events: DataFrame, zones: DataFrame, home_days: int = 27, page_size: int = TRAVEL_PAGE) -> DataFrame:
     """One row per user (and travel page): actual and home city, visits, local time."""
     located = located_messages(events, zones)
-    stays = city_stays(located)
+    stays = stored(city_stays(located), "city_stays")
     return (
         home_city(stays, home_days)
         .join(actual_city(located), "user_id")
@@ -97,19 +98,27 @@ def user_geo_stats(events: DataFrame, zones: DataFrame, home_days: int = 27, pag
         .select("user_id", "act_city", "home_city", "travel_count", "travel_page", "travel_array", "local_time"))
 
 
-def registrations(located: DataFrame) -> DataFrame:
+def user_zone_days(located: DataFrame) -> DataFrame:
+    """Counts per user, zone and day, and the first event among them.
+
+    The zone counts and the registrations both follow from this small table.
+    """
+    return located.groupBy("user_id", "zone_id", F.to_date("ts").alias("day")).agg(
+        F.count("message_id").alias("message"), F.count("reaction").alias("reaction"),
+        F.count("subs").alias("subscription"), F.min(F.struct(*IN_TIME)).alias("first"))
+
+
+def registrations(user_days: DataFrame) -> DataFrame:
     """Each user's first event."""
-    first = F.min(F.struct("ts", "event_id", "zone_id"))
-    return located.groupBy("user_id").agg(first.alias("first")).select("user_id", "first.*")
+    first = F.min(F.struct("first.ts", "first.event_id", "zone_id", "day"))
+    return user_days.groupBy("user_id").agg(first.alias("first")).select("user_id", "first.*")
 
 
-def zone_counts_daily(located: DataFrame) -> DataFrame:
+def zone_counts_daily(user_days: DataFrame) -> DataFrame:
     """Counts per zone and day, the basis of the weekly and monthly ones."""
-    day = F.to_date("ts").alias("day")
-    counts = located.groupBy("zone_id", day).agg(
-        F.count("message_id").alias("message"), F.count("reaction").alias("reaction"),
-        F.count("subs").alias("subscription"))
-    new_users = registrations(located).groupBy("zone_id", day).agg(F.count(F.lit(1)).alias("user"))
+    counts = user_days.groupBy("zone_id", "day").agg(
+        *[F.sum(c).alias(c) for c in ("message", "reaction", "subscription")])
+    new_users = registrations(user_days).groupBy("zone_id", "day").agg(F.count(F.lit(1)).alias("user"))
     return counts.join(new_users, ["zone_id", "day"], "left").fillna(0, ["user"])
 
 
@@ -122,7 +131,7 @@ def zone_counts(daily_counts: DataFrame, period: str) -> DataFrame:
 
 def zone_stats(events: DataFrame, zones: DataFrame) -> DataFrame:
     """Counts per zone, week and month; a week belongs to the month of its Monday."""
-    per_day = zone_counts_daily(located_events(events, zones))
+    per_day = zone_counts_daily(stored(user_zone_days(located_events(events, zones)), "user_zone_days"))
     weeks = zone_counts(per_day, "week").withColumn(
         "month", F.date_trunc("month", "week").cast("timestamp_ntz"))
     return zone_counts(per_day, "month").join(weeks, ["zone_id", "month"], "left").select(

@@ -77,22 +77,22 @@ def _timestamp_key(ts: str) -> Column:
     return uuid3(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
 
 
-def dim_timestamps(documents: DataFrame) -> DataFrame:
-    return settled_orders(documents).select("ts").distinct().select(
+def dim_timestamps(settled: DataFrame) -> DataFrame:
+    return settled.select("ts").distinct().select(
         _timestamp_key("ts").alias("id"), "ts",
         F.year("ts").alias("year"), F.month("ts").alias("month"), F.day("ts").alias("day"),
         F.date_format("ts", "HH:mm:ss").alias("time"), F.to_date("ts").alias("date"))
 
 
-def dim_orders(documents: DataFrame) -> DataFrame:
-    return settled_orders(documents).select(
+def dim_orders(settled: DataFrame) -> DataFrame:
+    return settled.select(
         uuid3("order_key").alias("id"), "order_key", "order_status",
         uuid3("user_key").alias("user_id"),
         uuid3("restaurant_key").alias("restaurant_id"),
         _timestamp_key("ts").alias("timestamp_id"))
 
 
-def fact_product_sales(documents: DataFrame, bonus_events: DataFrame) -> DataFrame:
+def fact_product_sales(settled: DataFrame, bonus_events: DataFrame) -> DataFrame:
     """Lines of closed orders: from the order's first bonus event, else from the order itself.
 
     The bonus text is parsed first and joined on the order id inside it.
@@ -111,7 +111,7 @@ def fact_product_sales(documents: DataFrame, bonus_events: DataFrame) -> DataFra
         (i["price"] * i["quantity"]).cast("decimal(12,2)").alias("product_cost"),
         F.lit(0).cast("decimal(12,2)").alias("bonus_payment"),
         F.lit(0).cast("decimal(12,2)").alias("bonus_grant")))
-    closed = settled_orders(documents).where("order_status = 'CLOSED'").select("order_key", "order_items")
+    closed = settled.where("order_status = 'CLOSED'").select("order_key", "order_items")
     lines = closed.join(bonus, "order_key", "left").select(
         "order_key", F.explode(F.coalesce("payments", own_lines)).alias("line"))
     return lines.select(

@@ -20,7 +20,7 @@ from martloom.operators.pairs import channel_members, channel_pairs, contact_pai
 from martloom.operators.writes import (
     additive_upsert, insert_if_absent, merge_insert_only, upsert_last_wins)
 from martloom.plans import couriers, geo_marts, messenger, metrics, order_vault, settlement
-from martloom.session import work_dir
+from martloom.session import stored, work_dir
 from martloom.sources import documents, events, files, relational, tables
 from martloom.streaming import campaigns, flow, orders
 
@@ -164,7 +164,7 @@ def dim_restaurants(i: Inputs) -> DataFrame:
 
 @_query
 def dim_timestamps(i: Inputs) -> DataFrame:
-    return settlement.dim_timestamps(i.order_documents)
+    return settlement.dim_timestamps(settlement.settled_orders(i.order_documents))
 
 
 @_query
@@ -174,20 +174,21 @@ def dim_products_scd2(i: Inputs) -> DataFrame:
 
 @_query
 def dim_orders(i: Inputs) -> DataFrame:
-    return settlement.dim_orders(i.order_documents)
+    return settlement.dim_orders(settlement.settled_orders(i.order_documents))
 
 
 @_query
 def fact_product_sales(i: Inputs) -> DataFrame:
-    return settlement.fact_product_sales(i.order_documents, i.outbox)
+    return settlement.fact_product_sales(settlement.settled_orders(i.order_documents), i.outbox)
 
 
 @_query
 def settlement_report(i: Inputs) -> DataFrame:
+    settled = stored(settlement.settled_orders(i.order_documents), "settled_orders")
     return settlement.settlement_report(
-        settlement.fact_product_sales(i.order_documents, i.outbox),
-        settlement.dim_orders(i.order_documents),
-        settlement.dim_timestamps(i.order_documents),
+        settlement.fact_product_sales(settled, i.outbox),
+        settlement.dim_orders(settled),
+        settlement.dim_timestamps(settled),
         settlement.dim_restaurants(i.restaurant_documents), AS_OF)
 
 
@@ -331,11 +332,13 @@ def user_geo_stats(i: Inputs) -> DataFrame:
 
 @_query
 def registrations(i: Inputs) -> DataFrame:
-    return geo_marts.registrations(geo_marts.located_events(i.geo_events, _zones(i)))
+    return geo_marts.registrations(geo_marts.user_zone_days(
+        geo_marts.located_events(i.geo_events, _zones(i)))).drop("day")
 
 
 def _zone_days(i: Inputs) -> DataFrame:
-    return geo_marts.zone_counts_daily(geo_marts.located_events(i.geo_events, _zones(i)))
+    return geo_marts.zone_counts_daily(geo_marts.user_zone_days(
+        geo_marts.located_events(i.geo_events, _zones(i))))
 
 
 @_query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on; a cluster's own values (executors, memory,
 # shuffle partitions, checkpoint folder) come from spark-submit.
@@ -46,3 +46,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="martloom-")
     return f"{base.rstrip('/')}/martloom/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder once and read it back.
+
+    For a costly frame that several branches of one job use.  It cuts the
+    lineage: a lost executor costs no recomputation of what is written.
+    """
+    location = work_dir(df.sparkSession, name)
+    df.write.parquet(location)
+    return df.sparkSession.read.schema(df.schema).parquet(location)
