@@ -42,6 +42,13 @@ def scan_events(spark: SparkSession, location: str, event_type: str | None = Non
     return wanted.where("event.message_id is not null") if event_type == "message" else wanted
 
 
+def with_event_id(events: DataFrame) -> DataFrame:
+    """Give events without ``event_id`` one made of their content; it orders events of equal time."""
+    if "event_id" in events.columns:
+        return events
+    return events.withColumn("event_id", F.xxhash64(F.to_json("event"), "event_type", "lat", "lon"))
+
+
 def timezone_of(city: Column) -> Column:
     """``Australia/<city>``; small cities use their capital, unknown ones the default."""
     capital = F.create_map(*[F.lit(x) for pair in CAPITAL_OF.items() for x in pair])

@@ -7,10 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 CORRUPT = "_rejected_line"
 
 
-def load_csv(spark: SparkSession, location, schema: str, header: bool = False, delimiter: str = ",") -> DataFrame:
+def load_csv(
+    spark: SparkSession, location, schema: str, header: bool = False, delimiter: str = ",",
+    options: dict[str, str] | None = None,
+) -> DataFrame:
     """Lines read by position into ``schema``; a bad line keeps its text in ``CORRUPT``."""
     return (
-        spark.read.schema(f"{schema}, {CORRUPT} string")
+        spark.read.schema(f"{schema}, {CORRUPT} string").options(**(options or {}))
         .options(header=header, sep=delimiter, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
                  recursiveFileLookup=True)
         .csv(location)
@@ -64,11 +67,16 @@ def load_files(
 ) -> DataFrame:
     """Good rows of the selected files with lineage columns.
 
-    The file choice is a semi-join on the file path, so no file list passes
-    through the driver; all files of the folder must share one layout.
+    Files older than the oldest selected one are left out when files are
+    listed, so an increment does not read the history again.  The exact choice
+    is a semi-join on the file path: no file list passes through the driver.
+    All files of the folder must share one layout.
     """
+    oldest = selected.agg(
+        F.date_format(F.min("modified") - F.expr("interval 2 seconds"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    recent = {"modifiedAfter": oldest} if oldest else {}
     loaded = (
-        load_csv(spark, location, schema, header=header)
+        load_csv(spark, location, schema, header=header, options=recent)
         .withColumn("file_path", F.col("_metadata.file_path"))
         .join(selected.select("file_path"), "file_path", "left_semi")
         .drop("file_path")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.operators.writes import new_rows
+from martloom.operators.writes import first_per_key, new_rows
 
 VERSION = "version="
 
@@ -75,6 +75,16 @@ def append_new(df: DataFrame, location: str, keys: list[str], batch_id: int) ->
     append_batch(new_rows(earlier, df, keys, [F.col(keys[0])]), location, batch_id)
 
 
+def merged(spark: SparkSession, location: str, keys: list[str], newest: bool = False) -> DataFrame:
+    """One row per key of an appended table: the first batch that brought it, or the newest.
+
+    A stream appends without looking at the history; this view decides which
+    row counts.  Publishing the view from time to time compacts the batches.
+    """
+    order = F.desc("batch_id") if newest else F.asc("batch_id")
+    return first_per_key(spark.read.parquet(location), keys, [order]).drop("batch_id")
+
+
 def save_bucketed(df: DataFrame, name: str, location: str, key: str, buckets: int) -> DataFrame:
     """Catalog table bucketed and sorted by ``key``: joins on it need no shuffle of either side."""
     (df.repartition(buckets, key).write.mode("overwrite").option("path", location)

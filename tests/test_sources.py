@@ -229,8 +229,8 @@ def test_order_chain_equals_batch(spark, tmp_path):
         columns = ["user_id", f"{by}_id", f"{by}_name", "order_cnt"]
         assert values(orders.current_counters(spark, f"{where}/cdm", by), *columns) == values(
             order_vault.order_counters(lines, by), *columns)
-    assert spark.read.parquet(f"{where}/dds/h_order").count() == 3
-    assert spark.read.parquet(f"{where}/dds/l_order_product").count() == 5
+    assert orders.vault_table(spark, f"{where}/dds", "h_order").count() == 3
+    assert orders.vault_table(spark, f"{where}/dds", "l_order_product").count() == 5
     staged = orders.staged_orders(spark, f"{where}/stg")
     assert {r.object_id: r.sent_dttm.day for r in staged.collect()} == {1: 2, 2: 1, 3: 1}
 
