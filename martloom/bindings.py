@@ -178,19 +178,21 @@ class Inputs:
         orders = self.table("orders").select("o_orderkey", "o_orderdate")
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
             "cast(l_orderkey as string) as order_id",
-            "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') as order_ts",
+            "o_orderdate as order_ts",
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as delivery_id",
             "cast(l_suppkey as string) as courier_id",
             "concat('Street ', l_partkey % 50, ', ', l_partkey % 200, ', apt ', l_linenumber) as address",
-            f"concat(date_format(timestampadd(DAY, {DELIVERY_SHIFT}, l_shipdate), 'yyyy-MM-dd HH:mm:ss'), '.250000')"
-            " as delivery_ts",
+            f"timestampadd(MILLISECOND, 250, timestampadd(DAY, {DELIVERY_SHIFT}, l_shipdate)) as delivery_ts",
             f"{rate} as rate",
             "cast(l_extendedprice as decimal(12,2)) as sum",
             "cast(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2)) as decimal(12,2)) as tip_sum")
 
     @cached_property
     def delivery_content(self) -> DataFrame:
-        return self.delivery_rows.select(F.to_json(F.struct("*")).alias("content"))
+        texts = self.delivery_rows.withColumns({
+            "order_ts": F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss"),
+            "delivery_ts": F.date_format("delivery_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")})
+        return texts.select(F.to_json(F.struct("*")).alias("content"))
 
     @cached_property
     def courier_content(self) -> DataFrame:

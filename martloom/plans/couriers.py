@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom import schemas
-from martloom.functions.keys import uuid3
+from martloom.functions.keys import known_uuid3, uuid3
 from martloom.functions.text import address_parts, with_parsed
 from martloom.operators.joins import with_placeholders
 from martloom.operators.writes import first_per_key
@@ -15,6 +15,7 @@ TIERS = [("4", "0.05", "100"), ("4.5", "0.07", "150"), ("4.9", "0.08", "175")]
 TOP_TIER = ("0.10", "200")
 PROCESSING_FEE = "0.25"
 TIPS_SHARE = "0.95"
+# Name of an unknown courier, city of an address without one.
 PLACEHOLDER_PREFIX = "Курьер-нелегал #"
 DEFAULT_CITY = "Moscow"
 
@@ -32,8 +33,9 @@ def parse_restaurants(landed: DataFrame) -> DataFrame:
 
 
 def parse_deliveries(landed: DataFrame) -> DataFrame:
+    """Typed deliveries; a text without the ids of order, delivery and courier is broken and left out."""
     parsed = with_parsed(landed, "content", schemas.DELIVERY, keep=[])
-    return parsed.withColumns({
+    return parsed.dropna(subset=["order_id", "delivery_id", "courier_id"]).withColumns({
         "order_ts": F.to_timestamp_ntz("order_ts"), "delivery_ts": F.to_timestamp_ntz("delivery_ts")})
 
 
@@ -71,8 +73,8 @@ def fact_deliveries(deliveries: DataFrame) -> DataFrame:
     With them the ledger needs no join of the fact to tables of its own size.
     """
     return deliveries.select(
-        uuid3("order_id").alias("order_id"), uuid3("delivery_id").alias("delivery_id"),
-        uuid3("courier_id").alias("courier_id"), "order_ts", "rate",
+        known_uuid3("order_id").alias("order_id"), known_uuid3("delivery_id").alias("delivery_id"),
+        known_uuid3("courier_id").alias("courier_id"), "order_ts", "rate",
         F.col("sum").alias("order_sum"), "tip_sum")
 
 

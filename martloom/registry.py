@@ -83,7 +83,7 @@ def _delivery_tables(i: Inputs) -> tuple[DataFrame, DataFrame]:
 
 def _ledger_inputs(i: Inputs) -> tuple[DataFrame, DataFrame]:
     """The fact straight from the delivery rows, without the detour over JSON text."""
-    rows = i.delivery_rows.withColumn("order_ts", F.to_timestamp_ntz("order_ts"))
+    rows = i.delivery_rows
     dim = couriers.dim_couriers(couriers.parse_couriers(i.courier_content), rows.select("courier_id"))
     return couriers.fact_deliveries(rows), dim
 
