@@ -37,12 +37,16 @@ def located_events(events: DataFrame, zones: DataFrame) -> DataFrame:
     return nearest_zone(known, zones, "m_lat", "m_lng")
 
 
-def city_stays(located: DataFrame) -> DataFrame:
-    """Arrivals in another city, with the days until the next one (or the end of the data)."""
-    slices = hourly(F.col("ts"))
-    arrivals = changes(located, ["user_id"], IN_TIME, "city", slices).select(
+def city_arrivals(located: DataFrame) -> DataFrame:
+    """Messages sent from another city than the user's message before."""
+    return changes(located, ["user_id"], IN_TIME, "city", hourly(F.col("ts"))).select(
         "user_id", "event_id", "city", "ts")
-    left = with_neighbour(arrivals, ["user_id"], IN_TIME, {"ts": "next_ts"}, slices, following=True)
+
+
+def city_stays(arrivals: DataFrame, located: DataFrame) -> DataFrame:
+    """Arrivals with the days until the next one (or the end of the data)."""
+    left = with_neighbour(
+        arrivals, ["user_id"], IN_TIME, {"ts": "next_ts"}, hourly(F.col("ts")), following=True)
     end_of_data = located.agg(F.max("ts")).scalar()
     return left.withColumn("duration", F.datediff(F.coalesce(F.col("next_ts"), end_of_data), "ts"))
 
@@ -65,9 +69,8 @@ def home_city(stays: DataFrame, home_days: int = 27) -> DataFrame:
 
 
 def travel_history(stays: DataFrame) -> DataFrame:
-    """Visits in order: (user_id, visit_no, city, ts)."""
-    return with_position(stays, ["user_id"], IN_TIME, hourly(F.col("ts")), "visit_no").select(
-        "user_id", "visit_no", "city", "ts")
+    """Stays numbered per user as ``visit_no``."""
+    return with_position(stays, ["user_id"], IN_TIME, hourly(F.col("ts")), "visit_no")
 
 
 def travel_pages(history: DataFrame, page_size: int = TRAVEL_PAGE) -> DataFrame:
@@ -87,13 +90,19 @@ def actual_city(located: DataFrame) -> DataFrame:
 
 
 def user_geo_stats(events: DataFrame, zones: DataFrame, home_days: int = 27, page_size: int = TRAVEL_PAGE) -> DataFrame:
-    """One row per user (and travel page): actual and home city, visits, local time."""
-    located = located_messages(events, zones)
-    stays = stored(city_stays(located), "city_stays")
+    """One row per user (and travel page): actual and home city, visits, local time.
+
+    The located messages, the far fewer arrivals and the numbered stays are
+    each computed once and stored, as several branches read them.
+    """
+    columns = ["user_id", "event_id", "ts", "city", "timezone"]
+    located = stored(located_messages(events, zones).select(*columns), "located_messages")
+    arrivals = stored(city_arrivals(located), "city_arrivals")
+    history = stored(travel_history(city_stays(arrivals, located)), "travel_history")
     return (
-        home_city(stays, home_days)
+        home_city(history, home_days)
         .join(actual_city(located), "user_id")
-        .join(travel_pages(travel_history(stays), page_size), "user_id")
+        .join(travel_pages(history, page_size), "user_id")
         .withColumn("local_time", local_time(F.col("ts"), F.col("timezone")))
         .select("user_id", "act_city", "home_city", "travel_count", "travel_page", "travel_array", "local_time"))
 

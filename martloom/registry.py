@@ -302,7 +302,9 @@ def last_known_location(i: Inputs) -> DataFrame:
 
 
 def _stays(i: Inputs) -> DataFrame:
-    return geo_marts.city_stays(geo_marts.located_messages(i.geo_events, _zones(i)))
+    columns = ["user_id", "event_id", "ts", "city"]
+    located = stored(geo_marts.located_messages(i.geo_events, _zones(i)).select(*columns), "located_messages")
+    return geo_marts.city_stays(stored(geo_marts.city_arrivals(located), "city_arrivals"), located)
 
 
 @_query
@@ -317,7 +319,7 @@ def home_city(i: Inputs) -> DataFrame:
 
 @_query
 def travel_history(i: Inputs) -> DataFrame:
-    return geo_marts.travel_history(_stays(i))
+    return geo_marts.travel_history(_stays(i)).select("user_id", "visit_no", "city", "ts")
 
 
 @_query
