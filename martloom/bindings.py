@@ -1,7 +1,7 @@
 """The driver's tables seen as the inputs of the jobs.
 
-Everything is derived from whole tables by projections, joins and aggregates;
-nested values have a fixed length, so no group is collected into a row.
+Everything is derived from whole tables by projections, joins and aggregates.
+Nested values have a small fixed bound (``MENU_SIZE`` entries at most).
 """
 
 from __future__ import annotations

@@ -22,6 +22,16 @@ def parse_order_events(messages: DataFrame) -> DataFrame:
         F.get_json_object("value", "$.payload").alias("payload_text"))
 
 
+def _menu_map(menu: str) -> Column:
+    """Category by item id.  If a menu lists an item more than once, the smallest category counts."""
+    items = F.array_distinct(F.transform(menu, lambda m: m["_id"]))
+    smallest = lambda item: F.array_min(F.transform(
+        F.filter(menu, lambda m: m["_id"] == item), lambda m: m["category"]))
+    return F.when(
+        F.size(items) == F.size(menu), F.map_from_entries(F.transform(menu, lambda m: F.struct(m["_id"], m["category"])))
+    ).otherwise(F.map_from_entries(F.transform(items, lambda item: F.struct(item, smallest(item)))))
+
+
 def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Add user names, restaurant names and product categories to raw orders.
 
@@ -31,13 +41,10 @@ def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -
     """
     user_side = users.select(
         F.col("_id").alias("user_key"), F.col("name").alias("user_name"), F.col("login").alias("user_login"))
-    menu = F.map_from_entries(F.transform(
-        F.array_distinct(F.transform("menu", lambda m: m["_id"])),
-        lambda item: F.struct(
-            item, F.array_min(F.transform(
-                F.filter("menu", lambda m: m["_id"] == item), lambda m: m["category"])))))
+    restaurants = restaurants.withColumn("menu", F.filter("menu", lambda m: m["_id"].isNotNull()))
     restaurant_side = restaurants.select(
-        F.col("_id").alias("restaurant_key"), F.col("name").alias("restaurant_name"), menu.alias("categories"))
+        F.col("_id").alias("restaurant_key"), F.col("name").alias("restaurant_name"),
+        _menu_map("menu").alias("categories"))
     keyed = orders.withColumns({
         "user_key": F.col("payload.user.id"), "restaurant_key": F.col("payload.restaurant.id")})
     category = lambda item: F.coalesce(F.try_element_at("categories", item["id"]), F.lit(NO_CATEGORY))
