@@ -9,6 +9,7 @@ from martloom.functions.keys import uuid3
 from martloom.functions.text import with_parsed
 from martloom.operators.vault import hub, lineage, link, satellite
 
+# Source name in the vault, stand-ins for what the dictionaries lack.
 LOAD_SRC = "Kafka-stg-service-orders"
 NO_LOGIN = "login_was_not_loaded"
 NO_CATEGORY = "unknown"

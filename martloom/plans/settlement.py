@@ -14,6 +14,7 @@ from martloom.functions.keys import uuid3
 from martloom.functions.text import document_id, document_time, with_document
 from martloom.operators.writes import OPEN_END, first_per_key, versioned
 
+# Final statuses, shares of the order sum.
 SETTLED = ["CLOSED", "CANCELLED"]
 PROCESSING_FEE = "0.25"
 REWARD_SHARE = "0.75"

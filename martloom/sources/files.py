@@ -74,9 +74,10 @@ def load_files(
     """
     oldest = selected.agg(
         F.date_format(F.min("modified") - F.expr("interval 2 seconds"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
-    recent = {"modifiedAfter": oldest} if oldest else {}
+    if oldest is None:
+        return with_lineage(spark.createDataFrame([], schema), load_dt, load_src, columns)
     loaded = (
-        load_csv(spark, location, schema, header=header, options=recent)
+        load_csv(spark, location, schema, header=header, options={"modifiedAfter": oldest})
         .withColumn("file_path", F.col("_metadata.file_path"))
         .join(selected.select("file_path"), "file_path", "left_semi")
         .drop("file_path")

@@ -42,10 +42,14 @@ def outbox_increment(
     source: DataFrame, loaded: DataFrame, state: DataFrame, run_id: int,
     layer: str = "stg", origin: str = "outbox", table: str = "events",
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows with an id above the stored one that are not loaded yet, and the new state."""
+    """Rows with an id above the stored one that are not loaded yet, and the new state.
+
+    Rows above the stored id are loaded already only if a run died before it
+    moved the state, so no more of the target is read.
+    """
     last = int(load_state.read(state, layer, origin, table, load_state.FIRST_ID))
     batch = source.where(F.col("id") > last)
-    fresh = new_rows(loaded, batch, ["id"], [F.col("event_ts"), F.col("event_value")])
+    fresh = new_rows(loaded.where(F.col("id") > last), batch, ["id"], [F.col("event_ts"), F.col("event_value")])
     moved = load_state.progress(batch, layer, origin, table, F.col("id"), run_id)
     return fresh.select(loaded.columns), load_state.advance(state, moved)
 
