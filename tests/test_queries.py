@@ -4,10 +4,13 @@ import __spark_entry__ as entry
 import pytest
 from compare import compare, duck
 
+from martloom.oracles import all_oracles
+from martloom.registry import all_queries
+
 SF_DIR = "/root/testdata/sf0.001"
 # Queries whose result is empty on the smallest data.
 MAY_BE_EMPTY = {"late_courier_members", "unmatched_keys", "pairs_never_contacted", "friend_recommendations"}
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 STAGED = ("stream_", "order_chain", "campaign_push", "sink_")
 
 
@@ -32,5 +35,10 @@ def test_query_equals_sql(spark, con, name):
     assert not found
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
