@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import jaccard_join
+from martloom.llm import byte_bpe, exact_dedup, html_text, jaccard_join, language_id, packing, url_filter
 
 
 def _table(name: str):
@@ -18,15 +18,80 @@ def _table(name: str):
 documents, pages, embeddings = _table("documents"), _table("pages"), _table("embeddings")
 
 
+# The rules of the site filter: later parts of this module's SQL state them again.
+SITE_RULES = [
+    url_filter.site_rule("net/", "block"), url_filter.site_rule("example.net/en/", "allow"),
+    url_filter.site_rule("example.com/de/", "block"), url_filter.site_rule("org/fr/", "allow"),
+]
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_texts(documents(spark, sf_dir), with_ids=False)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, sf_dir))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(pages(spark, sf_dir))
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(documents(spark, sf_dir))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(pages(spark, sf_dir), SITE_RULES)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), with_ids=False)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
+        "op2_byte_bpe": op2_byte_bpe,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+        "op4_html_extraction": op4_html_extraction,
+        "op5_exact_dedup": op5_exact_dedup,
+        "op7_url_filters": op7_url_filters,
+        "op8_packing": op8_packing,
     }
 
 
+OP5 = r"""
+WITH rows AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+    FROM documents),
+groups AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM rows GROUP BY 1)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM rows JOIN groups USING (text_sha256)
+"""
+
+OP7 = r"""
+WITH split AS (
+    SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages),
+judged AS (
+    SELECT page_id, host, path, CASE
+        WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM split)
+SELECT page_id, host, path, rule,
+    CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op5_exact_dedup": OP5, "op7_url_filters": OP7}
