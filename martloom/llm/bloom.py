@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 PROBES = 4
 CHUNK_BYTES = 1 << 15
@@ -97,3 +98,28 @@ def hash_filters(hashes: DataFrame, column: str, n_bytes: int) -> tuple[np.ndarr
         once[at:at + CHUNK_BYTES] = np.frombuffer(row["once"], np.uint8)
         twice[at:at + CHUNK_BYTES] = np.frombuffer(row["twice"], np.uint8)
     return once, twice
+
+
+def maybe_in(bits: np.ndarray, code: Column) -> Column:
+    """True where a 64-bit hash may be in the filter; only the hash goes through Python."""
+
+    @F.pandas_udf("boolean")
+    def tested(codes: pd.Series) -> pd.Series:
+        return pd.Series(test(bits, codes.to_numpy(dtype=np.int64).view(np.uint64)))
+
+    return tested(code)
+
+
+def anti_join(rows: DataFrame, key: str, gone: DataFrame, gone_key: str, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """``rows`` whose key is not in ``gone``: rows outside a filter of its keys pass without a shuffle.
+
+    A null key equals a null key.  ``gone`` is read several times and should be stored.
+    """
+    bits, _ = hash_filters(
+        gone.select(F.xxhash64(F.col(gone_key).cast("long")).alias("code")), "code",
+        filter_bytes(gone.count(), max_bytes=max_bytes))
+    flag = "__may_be_gone"
+    tested = rows.withColumn(flag, maybe_in(bits, F.xxhash64(F.col(key).cast("long"))))
+    sure = tested.where(~F.col(flag)).drop(flag)
+    doubtful = tested.where(flag).drop(flag)
+    return sure.unionByName(doubtful.join(gone, F.col(key).eqNullSafe(F.col(gone_key)), "left_anti"))

@@ -9,7 +9,6 @@ and find the row that stays.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.llm import bloom
@@ -23,13 +22,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE_SPACE, " ")
 
 
-def _may_repeat(bits: np.ndarray):
-    @F.pandas_udf("boolean")
-    def test(code: pd.Series) -> pd.Series:
-        return pd.Series(bloom.test(bits, code.to_numpy(dtype=np.int64).view(np.uint64)))
-    return test
-
-
 def _filter(codes: DataFrame, max_bytes: int) -> np.ndarray:
     _, twice = bloom.hash_filters(codes, "code", bloom.filter_bytes(codes.count(), max_bytes=max_bytes))
     return twice
@@ -48,7 +40,7 @@ def exact_groups(documents: DataFrame, max_bytes: int = bloom.MAX_BYTES) -> Data
         F.sha2(normalised(F.col("text")), 256).alias("text_sha256")), "hashes")
     code = F.xxhash64("text_sha256").alias("code")
     twice = _filter(rows.select(code), max_bytes)
-    tested = rows.withColumn("again", _may_repeat(twice)(code))
+    tested = rows.withColumn("again", bloom.maybe_in(twice, code))
     again = tested.where("again")
     groups = again.groupBy("text_sha256").agg(
         F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -67,17 +59,4 @@ def keep_first(documents: DataFrame, max_bytes: int = bloom.MAX_BYTES) -> DataFr
     """
     groups = stored(exact_groups(documents, max_bytes), "exact-groups")
     losers = stored(groups.where("not kept").select(F.col("doc_id").alias("loser")), "losers")
-    again = _filter_of_ids(losers, max_bytes)
-    code = F.xxhash64(F.col("doc_id").cast("long"))
-    flag = "__may_go"
-    tested = documents.withColumn(flag, _may_repeat(again)(code))
-    sure = tested.where(~F.col(flag)).drop(flag)
-    doubtful = tested.where(F.col(flag)).drop(flag)
-    return sure.unionByName(doubtful.join(losers, F.col("doc_id").eqNullSafe(F.col("loser")), "left_anti"))
-
-
-def _filter_of_ids(losers: DataFrame, max_bytes: int) -> np.ndarray:
-    once, _ = bloom.hash_filters(
-        losers.select(F.xxhash64("loser").alias("code")), "code",
-        bloom.filter_bytes(losers.count(), max_bytes=max_bytes))
-    return once
+    return bloom.anti_join(documents, "doc_id", losers, "loser", max_bytes)

@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import byte_bpe, exact_dedup, html_text, jaccard_join, language_id, packing, url_filter
+from martloom.llm import (
+    byte_bpe, embedding_forest, exact_dedup, html_text, jaccard_join, kd_shards, language_id, packing, token_rollup,
+    url_filter,
+)
+from martloom.llm.shipping import ship
 
 
 def _table(name: str):
     def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return read
 
 
-documents, pages, embeddings = _table("documents"), _table("pages"), _table("embeddings")
+documents, pages, embeddings, labels = (_table(name) for name in ("documents", "pages", "embeddings", "labels"))
 
 
 # The rules of the site filter: later parts of this module's SQL state them again.
@@ -45,6 +50,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(documents(spark, sf_dir))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages(spark, sf_dir), SITE_RULES)
 
@@ -53,6 +62,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), with_ids=False)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.corpus_rollup(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.near_vectors(embeddings(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -60,8 +77,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
         "op4_html_extraction": op4_html_extraction,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_kd_sharding": op6_kd_sharding,
         "op7_url_filters": op7_url_filters,
         "op8_packing": op8_packing,
+        "op9_token_counts": op9_token_counts,
+        "op10_embedding_near_dedup": op10_embedding_near_dedup,
     }
 
 
