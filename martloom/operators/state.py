@@ -8,21 +8,18 @@ from martloom.operators.writes import upsert_last_wins
 
 KEYS = ["layer", "source", "table"]
 SCHEMA = "layer string, source string, table string, value string, run_id long"
-# Where a load starts when nothing is stored yet (fixed values).
-FIRST_DATE = "2022-01-01 00:00:00"
-FIRST_ID = "0"
 
 
 def empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], SCHEMA)
 
 
-def read(state: DataFrame, layer: str, source: str, table: str, default: str) -> str:
-    """The stored value, one row by key, or ``default`` on the first run."""
+def read(state: DataFrame, layer: str, source: str, table: str) -> str | None:
+    """The stored value, one row by key; None before the first run, which loads everything."""
     row = state.where(
         (F.col("layer") == layer) & (F.col("source") == source) & (F.col("table") == table)
     ).select("value").first()
-    return row[0] if row else default
+    return row[0] if row else None
 
 
 def progress(loaded: DataFrame, layer: str, source: str, table: str, position: Column, run_id: int) -> DataFrame:

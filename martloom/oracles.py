@@ -154,7 +154,7 @@ def _geo() -> dict[str, str]:
         "home_city": "select * from home",
         "travel_history": "select * from visits",
         "actual_city": "select * from act",
-        "user_geo_stats": "select home.user_id, act_city, home_city, travel_count, 0 as travel_page, travel_array,"
+        "user_geo_stats": "select home.user_id, act_city, home_city, travel_count, travel_array,"
                           f" {_LOCAL.format(tz='timezone', ts='ts')} as local_time"
                           " from home join act using (user_id) join (select user_id, count(*) as travel_count,"
                           " string_agg(city, ',' order by visit_no) as travel_array from visits group by user_id)"
@@ -162,9 +162,10 @@ def _geo() -> dict[str, str]:
         "registrations": "select user_id, ts, event_id, zone_id from first_event",
         "zone_counts_week": "select * from weeks",
         "zone_counts_month": "select * from months",
-        "zone_stats": "select m.month, w.week, m.zone_id, week_message, week_reaction, week_subscription,"
+        "zone_stats": "select coalesce(m.month, date_trunc('month', w.week)) as month, w.week,"
+                      " coalesce(m.zone_id, w.zone_id) as zone_id, week_message, week_reaction, week_subscription,"
                       " week_user, month_message, month_reaction, month_subscription, month_user"
-                      " from months m left join weeks w"
+                      " from months m full join weeks w"
                       " on m.zone_id = w.zone_id and m.month = date_trunc('month', w.week)",
         "final_coordinates": "select * from final",
         "contact_pairs": "select * from contacts",
@@ -365,7 +366,7 @@ fact as (
     cast((price + i) * case when has_bonus then 1 else 1 + (o_orderkey + i) % 5 end as decimal(18,2)) as total_sum,
     case when has_bonus then 10 + i else 0 end as bonus_payment,
     case when has_bonus then o_orderkey % 7 else 0 end as bonus_grant,
-    order_key, o_custkey, cast(ts as date) as day
+    order_key, product_key, o_custkey, cast(ts as date) as day, ts as moment
   from items),
 report as (
   select o_custkey, day, count(distinct order_key) as orders_count, sum(total_sum) as total,
@@ -374,6 +375,11 @@ report as (
 """
 
 
+VERSION_KEY = (
+    f"(c_custkey * {MENU_SIZE} + j) || '|' ||"
+    " case when v = 1 then '2022-01-01 00:00:00' else '2022-02-01 00:00:00' end")
+
+
 def _settlement() -> dict[str, str]:
     menu = (
         f" from (select *, unnest(range(0, {MENU_SIZE})) as j from customer)")
@@ -393,7 +399,7 @@ def _settlement() -> dict[str, str]:
                              " case when v = 1 then timestamp '2022-01-01' else timestamp '2022-02-01' end as active_from,"
                              " case when v = 1 and j % 2 = 0 then timestamp '2022-02-01'"
                              " else timestamp '2099-12-31' end as active_to,"
-                             f" {_id(f'c_custkey * {MENU_SIZE} + j')} as id"
+                             f" {_uuid(VERSION_KEY)} as id"
                              f" from (select *, unnest(range(1, 3)) as v {menu}) where v = 1 or j % 2 = 0",
         "dim_orders": f"select {_id('order_key')} as id, order_key, status as order_status,"
                       f" {_id('o_custkey')} as user_id, {_id('o_custkey')} as restaurant_id,"
@@ -401,6 +407,10 @@ def _settlement() -> dict[str, str]:
         "fact_product_sales": 'select product_id, order_id, "count", cast(price as double) as price,'
                               " cast(total_sum as double) as total_sum, cast(bonus_payment as double) as bonus_payment,"
                               " cast(bonus_grant as double) as bonus_grant from fact",
+        "fact_product_versions": 'select order_id, product_key, "count",'
+                                 f" case when cast(product_key as bigint) % {MENU_SIZE} % 2 = 0"
+                                 " and moment + interval 26 years >= timestamp '2022-02-01'"
+                                 " then timestamp '2022-02-01' else timestamp '2022-01-01' end as active_from from fact",
         "settlement_report": "select cast(o_custkey as varchar) as restaurant_id, c_name as restaurant_name,"
                              " day as settlement_date, orders_count, cast(total as double) as orders_total_sum,"
                              " cast(bonus as double) as orders_bonus_payment_sum,"
@@ -537,7 +547,8 @@ def _metrics() -> dict[str, str]:
         "daily_metrics_with_base": f"select *, {STG} from with_base",
         "merge_insert_only": "select *, case when date_update < date '1997-12-31' then timestamp '2024-01-01'"
                              f" else timestamp '{LOAD_DT}' end as load_dt, 'STG' as load_src from metrics",
-        "incremental_files": f"select {fields}, {LOADED}, 'S3' as load_src from t where status <> 'done'",
+        "incremental_files": f"select {fields}, {LOADED}, 'S3' as load_src from t",
+        "daily_metrics_upsert": "select * from metrics",
         "load_with_lineage": rate_rows.format(lineage=f"{LOADED}, 'S3' as load_src"),
         "envelope_currencies": rate_rows.format(lineage=f"{LOADED}, 'Kafka-currency' as load_src"),
         "envelope_transactions": f"select {fields}, {LOADED}, 'Kafka-transaction' as load_src from t",
@@ -559,7 +570,9 @@ def _loads() -> dict[str, str]:
                               " else 'user_balance' end as event_type from (select *, unnest(range(0,"
                               " case when o_orderpriority = '1-URGENT' then 2 else 1 end)) as copy from orders)",
         "documents_incremental": "select cast(c_custkey as varchar) as object_id, timestamp '2022-02-01' as update_ts,"
-                                 " cast(105 + c_custkey % 90 as double) as price from customer",
+                                 " cast(c_custkey * 10 + j as varchar) as product_id, 'dish ' || j as name,"
+                                 " cast(100 + c_custkey % 90 + case when j % 2 = 0 then 5 else 0 end as double) as price"
+                                 " from (select *, unnest(range(0, 10)) as j from customer)",
         "api_snapshot_landing": "select cast(s_suppkey as varchar) as courier_id, s_name as name,"
                                 " count(*) over () as loaded_rows from supplier where s_acctbal >= 0",
         "daily_slices": "select event_id, ts, 'relational' as load_src, cast(ts as date) as load_day"

@@ -13,7 +13,6 @@ from martloom.sources.events import flatten_events
 
 IN_TIME = ["ts", "event_id"]
 # Cities per travel_array; a user with more visits gets further pages.
-TRAVEL_PAGE = 1_000
 
 
 def located_messages(events: DataFrame, zones: DataFrame) -> DataFrame:
@@ -73,12 +72,16 @@ def travel_history(stays: DataFrame) -> DataFrame:
     return with_position(stays, ["user_id"], IN_TIME, hourly(F.col("ts")), "visit_no")
 
 
-def travel_pages(history: DataFrame, page_size: int = TRAVEL_PAGE) -> DataFrame:
-    """Visited cities as arrays of at most ``page_size``, page 0 first."""
-    page = F.floor((F.col("visit_no") - 1) / page_size).cast("int")
+def travel_lists(history: DataFrame) -> DataFrame:
+    """Each user's visited cities in order, one row per user."""
     visits = F.array_sort(F.collect_list(F.struct("visit_no", "city")))
-    return history.groupBy("user_id", page.alias("travel_page")).agg(
-        F.transform(visits, lambda v: v["city"]).alias("travel_array"))
+    return history.groupBy("user_id").agg(F.transform(visits, lambda v: v["city"]).alias("travel_array"))
+
+
+def user_visits(events: DataFrame, zones: DataFrame) -> DataFrame:
+    """The travel lists as rows (user_id, visit_no, city, ...): a user's history of any length."""
+    located = stored(located_messages(events, zones).select("user_id", "event_id", "ts", "city"), "located_messages")
+    return travel_history(city_stays(stored(city_arrivals(located), "city_arrivals"), located))
 
 
 def actual_city(located: DataFrame) -> DataFrame:
@@ -89,7 +92,7 @@ def actual_city(located: DataFrame) -> DataFrame:
         F.col("last.ts").alias("ts"))
 
 
-def user_geo_stats(events: DataFrame, zones: DataFrame, home_days: int = 27, page_size: int = TRAVEL_PAGE) -> DataFrame:
+def user_geo_stats(events: DataFrame, zones: DataFrame, home_days: int = 27) -> DataFrame:
     """One row per user (and travel page): actual and home city, visits, local time.
 
     The located messages, the far fewer arrivals and the numbered stays are
@@ -102,9 +105,9 @@ def user_geo_stats(events: DataFrame, zones: DataFrame, home_days: int = 27, pag
     return (
         home_city(history, home_days)
         .join(actual_city(located), "user_id")
-        .join(travel_pages(history, page_size), "user_id")
+        .join(travel_lists(history), "user_id")
         .withColumn("local_time", local_time(F.col("ts"), F.col("timezone")))
-        .select("user_id", "act_city", "home_city", "travel_count", "travel_page", "travel_array", "local_time"))
+        .select("user_id", "act_city", "home_city", "travel_count", "travel_array", "local_time"))
 
 
 def user_zone_days(located: DataFrame) -> DataFrame:
@@ -139,11 +142,15 @@ def zone_counts(daily_counts: DataFrame, period: str) -> DataFrame:
 
 
 def zone_stats(events: DataFrame, zones: DataFrame) -> DataFrame:
-    """Counts per zone, week and month; a week belongs to the month of its Monday."""
+    """Counts per zone, week and month; a week belongs to the month of its Monday.
+
+    A month without a week of its own, and a week whose month has no counts
+    itself, are rows with the other half NULL: no count is lost.
+    """
     per_day = zone_counts_daily(stored(user_zone_days(located_events(events, zones)), "user_zone_days"))
     weeks = zone_counts(per_day, "week").withColumn(
         "month", F.date_trunc("month", "week").cast("timestamp_ntz"))
-    return zone_counts(per_day, "month").join(weeks, ["zone_id", "month"], "left").select(
+    return zone_counts(per_day, "month").join(weeks, ["zone_id", "month"], "full").select(
         "month", "week", "zone_id", "week_message", "week_reaction", "week_subscription", "week_user",
         "month_message", "month_reaction", "month_subscription", "month_user")
 

@@ -28,11 +28,14 @@ def _state(spark: SparkSession, out: str) -> DataFrame:
 
 # --- settlement and couriers ------------------------------------------------------------
 
-def load_documents(spark: SparkSession, landing: str, out: str, collection: str, run_id: int, max_rows: int | None = None) -> DataFrame:
-    """Landed documents of a collection -> ``out/<collection>``, last version wins."""
+def load_documents(spark: SparkSession, landing: str, out: str, collection: str, run_id: int, start=None) -> DataFrame:
+    """Landed documents of a collection -> ``out/<collection>``, last version wins.
+
+    The first run takes all documents, or those updated after ``start``.
+    """
     source = spark.read.schema("object_id string, object_value string, update_ts timestamp_ntz").json(landing)
     merged, state = documents.documents_increment(
-        source, _existing(spark, f"{out}/{collection}", source), _state(spark, out), collection, run_id, max_rows)
+        source, _existing(spark, f"{out}/{collection}", source), _state(spark, out), collection, run_id, start)
     state = stored(state, "load_state")
     tables.publish(merged, f"{out}/{collection}")
     tables.publish(state, f"{out}/load_state")
@@ -49,11 +52,12 @@ def settlement_job(users: DataFrame, restaurants: DataFrame, orders: DataFrame,
         "dm_products": settlement.dim_products(restaurants),
         "dm_timestamps": settlement.dim_timestamps(settled),
         "dm_orders": settlement.dim_orders(settled),
-        "fct_product_sales": settlement.fact_product_sales(settled, outbox),
     }
     for name, df in made.items():
         tables.overwrite(df, f"{out}/{name}")
     read = lambda name: spark.read.parquet(f"{out}/{name}")
+    tables.overwrite(
+        settlement.fact_product_sales(settled, outbox, read("dm_products")), f"{out}/fct_product_sales")
     tables.overwrite(
         settlement.settlement_report(
             read("fct_product_sales"), read("dm_orders"), read("dm_timestamps"), read("dm_restaurants"), as_of),
@@ -109,10 +113,11 @@ def messenger_job(stage: dict[str, DataFrame], out: str, load_dt, batch_id: int)
 # --- geo -----------------------------------------------------------------------------------
 
 def geo_job(spark: SparkSession, events_location: str, zones_location: str, out: str, processed_dttm, home_days: int = 27) -> None:
-    """Event log and zone file -> user, zone and friend marts."""
+    """Event log and zone file -> user, visit, zone and friend marts."""
     log = events.with_event_id(events.scan_events(spark, events_location))
     zones = events.geo_dimension(spark.read.parquet(zones_location))
     tables.overwrite(geo_marts.user_geo_stats(log, zones, home_days), f"{out}/user_geo_stats")
+    tables.overwrite(geo_marts.user_visits(log, zones), f"{out}/user_visits")
     tables.overwrite(geo_marts.zone_stats(log, zones), f"{out}/zone_stats")
     tables.overwrite(
         geo_marts.friend_recommendations(log, zones, processed_dttm), f"{out}/friend_recommendations")
@@ -135,7 +140,7 @@ def order_job(messages: DataFrame, users: DataFrame, restaurants: DataFrame, out
 # --- metrics -----------------------------------------------------------------------------------
 
 def load_new_files(spark: SparkSession, location: str, out: str, table: str, schema: str, load_dt, batch_id: int, columns: list[str] | None = None) -> None:
-    """Files of a table that are new or touched since the last run -> ``out/<table>``."""
+    """Files of a table that are new or touched since the last run -> ``out/<table>``; read it by ``loaded_files``."""
     found = stored(files.list_files(spark, location, table), "found_files")
     manifest = tables.latest(spark, f"{out}/{table}_manifest")
     selected = files.files_to_load(found, manifest)
@@ -144,17 +149,30 @@ def load_new_files(spark: SparkSession, location: str, out: str, table: str, sch
     tables.publish(files.updated_manifest(found, manifest), f"{out}/{table}_manifest")
 
 
+def loaded_files(spark: SparkSession, out: str, table: str) -> DataFrame:
+    """The rows of a table loaded from files, those of each file's latest reading."""
+    return files.newest_files(spark.read.parquet(f"{out}/{table}"))
+
+
 def metrics_job(
     transactions: DataFrame, currencies: DataFrame, out: str, load_dt, run_id: int,
     base_currency: int = metrics.BASE_CURRENCY, mode: str = "insert",
 ) -> None:
-    """Transactions loaded since the last run -> ``out/global_metrics``."""
+    """Transactions loaded since the last run -> ``out/global_metrics``.
+
+    ``upsert`` aggregates the days those transactions belong to again, from all
+    their transactions, and replaces them.
+    """
     spark = transactions.sparkSession
     state = _state(spark, out)
-    since = load_state.read(state, "dwh", "stg", "global_metrics", load_state.FIRST_DATE)
-    fresh = metrics.daily_metrics(transactions, currencies, load_dt, base_currency, loaded_after=since)
-    moved = load_state.progress(
-        transactions, "dwh", "stg", "global_metrics", F.to_date("load_dt"), run_id)
+    since = load_state.read(state, "dwh", "stg", "global_metrics")
+    if mode == "upsert":
+        fresh = metrics.daily_metrics(metrics.touched_days(transactions, since), currencies, load_dt, base_currency)
+    else:
+        fresh = metrics.daily_metrics(transactions, currencies, load_dt, base_currency, loaded_after=since)
+    increment = transactions if since is None else transactions.where(
+        F.col("load_dt") > F.lit(since).cast("date").cast("timestamp_ntz"))
+    moved = load_state.progress(increment, "dwh", "stg", "global_metrics", F.to_date("load_dt"), run_id)
     state = stored(load_state.advance(state, moved), "load_state")
     existing = _existing(spark, f"{out}/global_metrics", fresh)
     tables.publish(metrics.merge_metrics(existing, fresh, mode), f"{out}/global_metrics")

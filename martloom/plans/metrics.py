@@ -21,6 +21,21 @@ def valid_transactions(transactions: DataFrame, loaded_after=None) -> DataFrame:
     return valid.where(F.col("load_dt") > F.lit(loaded_after).cast("date").cast("timestamp_ntz"))
 
 
+def touched_days(transactions: DataFrame, loaded_after=None) -> DataFrame:
+    """All valid transactions of the (day, currency) pairs that valid rows loaded after a date belong to.
+
+    A late transaction must not replace its day's total by its own amount, so
+    the whole day is aggregated again.
+    """
+    if loaded_after is None:
+        return transactions
+    day = F.to_date("transaction_dt")
+    keys = valid_transactions(transactions, loaded_after).select(
+        day.alias("__day"), F.col("currency_code").alias("__currency")).distinct()
+    return transactions.join(
+        keys, (day == F.col("__day")) & (F.col("currency_code") == F.col("__currency")), "left_semi")
+
+
 def daily_rates(currencies: DataFrame, base_currency: int) -> DataFrame:
     """Rate to the base per currency and day; the one loaded last if there are several."""
     to_base = currencies.where(F.col("currency_code_with") == base_currency).select(
@@ -65,6 +80,6 @@ def merge_metrics(existing: DataFrame, fresh: DataFrame, mode: str = "insert") -
 
     ``insert`` keeps days that are already there; ``upsert`` replaces them.
     """
-    if mode == "upsert":
+    if mode == "upsert":  # ``fresh`` holds whole days, see ``touched_days``
         return upsert_last_wins(existing, fresh, KEYS, ["load_dt"])
     return merge_insert_only(existing, fresh, KEYS, ["load_dt"])

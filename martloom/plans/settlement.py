@@ -46,7 +46,7 @@ def dim_restaurants(documents: DataFrame) -> DataFrame:
 
 
 def dim_products(documents: DataFrame) -> DataFrame:
-    """Menu items of all restaurant documents as non-overlapping price versions."""
+    """Menu items of all restaurant documents as non-overlapping price versions, each with a key of its own."""
     items = with_document(documents, "object_value", schemas.RESTAURANT_DOC).select(
         F.col("object_id").alias("restaurant_id"), "update_ts", F.explode("doc.menu").alias("item"))
     rows = items.select(
@@ -58,7 +58,7 @@ def dim_products(documents: DataFrame) -> DataFrame:
     )
     return versioned(
         rows, ["restaurant_id", "product_id"], ["product_name", "product_price"], "update_ts"
-    ).withColumn("id", uuid3("product_id"))
+    ).withColumn("id", uuid3("product_id", F.lit("|"), "active_from"))
 
 
 def settled_orders(documents: DataFrame) -> DataFrame:
@@ -93,10 +93,28 @@ def dim_orders(settled: DataFrame) -> DataFrame:
         _timestamp_key("ts").alias("timestamp_id"))
 
 
-def fact_product_sales(settled: DataFrame, bonus_events: DataFrame) -> DataFrame:
+def valid_version(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines (product_key, ts, ...) with ``version_id``, the key of the product version valid at ``ts``.
+
+    An equi-join on the product, a range on the time.  The first version also
+    holds for the time before it; a product without versions gives NULL.
+    """
+    first = products.groupBy("product_id").agg(F.min("active_from").alias("first_from"))
+    versions = products.join(first, "product_id").select(
+        F.col("product_id").alias("version_product"), F.col("id").alias("version_id"), "active_to",
+        F.when(F.col("active_from") > F.col("first_from"), F.col("active_from")).alias("since"))
+    valid = (
+        (F.col("product_key") == F.col("version_product")) & (F.col("ts") < F.col("active_to"))
+        & (F.col("since").isNull() | (F.col("ts") >= F.col("since"))))
+    return lines.join(versions, valid, "left").drop("version_product", "active_to", "since")
+
+
+def fact_product_sales(settled: DataFrame, bonus_events: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Lines of closed orders: from the order's first bonus event, else from the order itself.
 
-    The bonus text is parsed first and joined on the order id inside it.
+    The bonus text is parsed first and joined on the order id inside it.  With
+    the product dimension, ``product_id`` is the key of the version valid at
+    the order's time; without, the key of the product whatever its version.
     """
     bonus = first_per_key(
         bonus_events.where("event_type = 'bonus_transaction'")
@@ -112,11 +130,14 @@ def fact_product_sales(settled: DataFrame, bonus_events: DataFrame) -> DataFrame
         (i["price"] * i["quantity"]).cast("decimal(12,2)").alias("product_cost"),
         F.lit(0).cast("decimal(12,2)").alias("bonus_payment"),
         F.lit(0).cast("decimal(12,2)").alias("bonus_grant")))
-    closed = settled.where("order_status = 'CLOSED'").select("order_key", "order_items")
+    closed = settled.where("order_status = 'CLOSED'").select("order_key", "ts", "order_items")
     lines = closed.join(bonus, "order_key", "left").select(
-        "order_key", F.explode(F.coalesce("payments", own_lines)).alias("line"))
+        "order_key", "ts", F.explode(F.coalesce("payments", own_lines)).alias("line"))
+    if products is not None:
+        lines = valid_version(lines.withColumn("product_key", F.col("line.product_id")), products)
+    product = uuid3("line.product_id") if products is None else F.col("version_id")
     return lines.select(
-        uuid3("line.product_id").alias("product_id"),
+        product.alias("product_id"),
         uuid3("order_key").alias("order_id"),
         F.col("line.quantity").alias("count"),
         F.col("line.price").alias("price"),

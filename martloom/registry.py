@@ -7,19 +7,21 @@ Those that store something do so in a fresh folder (``work_dir``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martloom import schemas
 from martloom.bindings import AS_OF, CAMPAIGN_NOW, LOAD_DT, Inputs
 from martloom.functions.keys import uuid3
+from martloom.functions.text import document_id, with_document
 from martloom.operators import state as load_state
 from martloom.operators.joins import orphans
 from martloom.operators.nearest import nearest_zone
 from martloom.operators.pairs import channel_members, channel_pairs, contact_pairs, never_contacted
 from martloom.operators.writes import (
     additive_upsert, insert_if_absent, merge_insert_only, upsert_last_wins)
-from martloom.plans import couriers, geo_marts, messenger, metrics, order_vault, settlement
+from martloom.plans import couriers, geo_marts, jobs, messenger, metrics, order_vault, settlement
 from martloom.session import stored, work_dir
 from martloom.sources import documents, events, files, relational, tables
 from martloom.streaming import campaigns, flow, orders
@@ -182,6 +184,16 @@ def fact_product_sales(i: Inputs) -> DataFrame:
     return settlement.fact_product_sales(settlement.settled_orders(i.order_documents), i.outbox)
 
 
+@_query
+def fact_product_versions(i: Inputs) -> DataFrame:
+    """Fact lines with the product version valid at the order's time; orders are moved to the menus' years."""
+    products = stored(settlement.dim_products(i.restaurant_documents), "products")
+    settled = settlement.settled_orders(i.order_documents).withColumn("ts", F.expr("timestampadd(YEAR, 26, ts)"))
+    fact = settlement.fact_product_sales(settled, i.outbox, products)
+    versions = products.select(F.col("id").alias("product_id"), F.col("product_id").alias("product_key"), "active_from")
+    return fact.join(versions, "product_id").select("order_id", "product_key", "count", "active_from")
+
+
 @_query
 def settlement_report(i: Inputs) -> DataFrame:
     settled = stored(settlement.settled_orders(i.order_documents), "settled_orders")
@@ -450,20 +462,26 @@ def csv_load_rejects(i: Inputs) -> DataFrame:
 
 @_query
 def incremental_files(i: Inputs) -> DataFrame:
-    """Files of finished transactions are loaded, queued ones were touched since, the rest is new."""
-    where = work_dir(i.spark, "transactions")
+    """Finished and queued transactions are loaded; then the queued files are touched and old files dropped in."""
+    where, out = work_dir(i.spark, "transactions"), work_dir(i.spark, "stg")
     named = i.transactions.drop("load_dt", "load_src")
-    for status in ("done", "queued", "in_progress"):
-        named.where(F.col("status") == status).write.option("header", True).csv(f"{where}/{status}")
-    found = files.list_files(i.spark, where, "transactions")
-    loaded = found.where(~F.col("file_path").contains("/in_progress/")).withColumn(
-        "modified", F.when(F.col("file_path").contains("/queued/"), F.col("modified") - F.expr("interval 1 day"))
-        .otherwise(F.col("modified")))
-    manifest = work_dir(i.spark, "manifest")
-    tables.publish(files.updated_manifest(loaded, None), manifest)
-    selected = files.files_to_load(found, tables.latest(i.spark, manifest))
-    return files.load_files(
-        i.spark, where, schemas.TRANSACTIONS, selected, F.lit(LOAD_DT).cast("timestamp_ntz"))
+    for batch, statuses in enumerate((("done", "queued"), ("in_progress",))):
+        for status in statuses:
+            named.where(F.col("status") == status).write.option("header", True).csv(f"{where}/{status}")
+        if batch:
+            _set_time(i.spark, f"{where}/queued", "2100-01-01")
+            _set_time(i.spark, f"{where}/in_progress", "2021-01-01")
+        jobs.load_new_files(i.spark, where, out, "transactions", schemas.TRANSACTIONS, LOAD_DT, batch)
+    return jobs.loaded_files(i.spark, out, "transactions")
+
+
+def _set_time(spark: SparkSession, folder: str, day: str) -> None:
+    """Give the files of a folder a modification time."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    millis = int(datetime.fromisoformat(day).replace(tzinfo=timezone.utc).timestamp() * 1000)
+    for entry in store.listStatus(path):
+        store.setTimes(entry.getPath(), millis, -1)
 
 
 @_query
@@ -474,7 +492,7 @@ def load_with_lineage(i: Inputs) -> DataFrame:
     return files.load_files(
         i.spark, where, f"{schemas.CURRENCIES}, remark string", files.files_to_load(found, None),
         F.lit(LOAD_DT).cast("timestamp_ntz"),
-        columns=["date_update", "currency_code", "currency_code_with", "currency_with_div"])
+        columns=["date_update", "currency_code", "currency_code_with", "currency_with_div"]).drop("file_path", "modified")
 
 
 @_query
@@ -514,8 +532,11 @@ def documents_incremental(i: Inputs) -> DataFrame:
         tables.publish(docs, target)
         tables.publish(moved, states)
         docs, state = tables.latest(i.spark, target), tables.latest(i.spark, states)
-    return docs.select(
-        "object_id", "update_ts", F.get_json_object("object_value", "$.menu[0].price").cast("double").alias("price"))
+    items = with_document(docs, "object_value", schemas.RESTAURANT_DOC).select(
+        "object_id", "update_ts", F.explode("doc.menu").alias("item"))
+    return items.select(
+        "object_id", "update_ts", document_id("item._id").alias("product_id"), "item.name",
+        F.col("item.price").cast("double").alias("price"))
 
 
 @_query
@@ -634,6 +655,18 @@ def daily_metrics_with_base(i: Inputs) -> DataFrame:
     return _metrics(i, LOAD_DT, base_as_one=True)
 
 
+@_query
+def daily_metrics_upsert(i: Inputs) -> DataFrame:
+    """Two loads that share their days: the second one's days are aggregated again, whole."""
+    out = work_dir(i.spark, "upsert")
+    late = F.pmod(F.xxhash64("operation_id"), F.lit(2)) == 1
+    stamped = i.transactions.withColumn(
+        "load_dt", F.when(late, F.lit("2024-01-02 12:00:00")).otherwise(F.lit("2024-01-01 12:00:00")).cast("timestamp_ntz"))
+    for run, staged in enumerate((stamped.where(~late), stamped), start=1):
+        jobs.metrics_job(staged, i.currencies, out, f"2024-01-0{run} 13:00:00", run, base_currency=0, mode="upsert")
+    return tables.latest(i.spark, f"{out}/global_metrics").drop("load_dt", "load_src")
+
+
 @_query
 def merge_insert_only_(i: Inputs) -> DataFrame:
     """A full load, then an increment that also sees known days: those stay as they are."""

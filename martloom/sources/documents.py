@@ -16,20 +16,15 @@ def read_landed(spark: SparkSession, location: str) -> DataFrame:
 
 
 def documents_increment(
-    source: DataFrame, loaded: DataFrame, state: DataFrame, collection: str, run_id: int,
-    max_rows: int | None = None,
+    source: DataFrame, loaded: DataFrame, state: DataFrame, collection: str, run_id: int, start=None,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents updated after the stored time, merged by id; later versions win.
 
-    ``max_rows`` loads the oldest updates first; the rest follows in later
-    runs.  Documents sharing the last update time are never separated, so the
-    stored time skips none.  Returns (new target, new state).
+    The first run loads everything, or what was updated after ``start`` if the
+    caller gives one.  Returns (new target, new state).
     """
-    last = load_state.read(state, "stg", "documents", collection, load_state.FIRST_DATE)
-    batch = source.where(F.col("update_ts") > F.lit(last).cast("timestamp_ntz"))
-    if max_rows is not None:
-        oldest = batch.select("update_ts").orderBy("update_ts").limit(max_rows)
-        batch = batch.where(F.col("update_ts") <= oldest.agg(F.max("update_ts")).scalar())
+    last = load_state.read(state, "stg", "documents", collection) or start
+    batch = source if last is None else source.where(F.col("update_ts") > F.lit(last).cast("timestamp_ntz"))
     moved = load_state.progress(batch, "stg", "documents", collection, F.col("update_ts"), run_id)
     merged = upsert_last_wins(loaded, batch, ["object_id"], ["update_ts", "object_value"])
     return merged, load_state.advance(state, moved)
@@ -54,11 +49,16 @@ def api_increment(
     """Payload rows from the stored ``delivery_ts`` on (whole seconds), and the new state.
 
     The stored second is read again, since it may have been cut inside; rows
-    already loaded are recognised by their content.
+    already loaded are recognised by their content.  The first run loads everything.
     """
-    last = load_state.read(state, "stg", "api", table, load_state.FIRST_DATE)
+    last = load_state.read(state, "stg", "api", table)
     delivered = F.to_timestamp_ntz(F.get_json_object("content", "$.delivery_ts"))
-    batch = landed.withColumn("__at", delivered).where(F.col("__at") >= F.lit(last).cast("timestamp_ntz"))
+    batch = landed.withColumn("__at", delivered)
+    if last is not None:
+        since = F.lit(last).cast("timestamp_ntz")
+        batch = batch.where(F.col("__at") >= since)
+        # What is known by content need only be looked for among rows loaded from that second on.
+        loaded = loaded.where(delivered >= since)
     second = F.date_trunc("second", F.col("__at")).cast("timestamp_ntz")
     moved = load_state.progress(batch, "stg", "api", table, second, run_id)
     fresh = api_snapshot(batch.drop("__at"), loaded, load_ts)

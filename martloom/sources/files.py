@@ -43,16 +43,13 @@ def list_files(spark: SparkSession, location: str, key_part: str) -> DataFrame:
     )
 
 
-def files_to_load(found: DataFrame, manifest: DataFrame | None, floor: str = "2022-01-01 00:00:00") -> DataFrame:
-    """Files newer than the manifest says; without a manifest, all files.
-
-    A file the manifest does not know counts as last loaded at ``floor``.
-    """
+def files_to_load(found: DataFrame, manifest: DataFrame | None) -> DataFrame:
+    """Files the manifest does not know, however old, and those newer than it says."""
     if manifest is None:
         return found
     known = manifest.select("file_path", F.col("modified").alias("loaded"))
-    since = F.coalesce("loaded", F.lit(floor).cast("timestamp"))
-    return found.join(known, "file_path", "left").where(F.col("modified") > since).drop("loaded")
+    return found.join(known, "file_path", "left").where(
+        F.col("loaded").isNull() | (F.col("modified") > F.col("loaded"))).drop("loaded")
 
 
 def updated_manifest(found: DataFrame, manifest: DataFrame | None) -> DataFrame:
@@ -65,24 +62,31 @@ def load_files(
     spark: SparkSession, location: str, schema: str, selected: DataFrame, load_dt: Column,
     load_src: str = "S3", columns: list[str] | None = None, header: bool = True,
 ) -> DataFrame:
-    """Good rows of the selected files with lineage columns.
+    """Good rows of the selected files with lineage columns, their file and its time.
 
-    Files older than the oldest selected one are left out when files are
-    listed, so an increment does not read the history again.  The exact choice
-    is a semi-join on the file path: no file list passes through the driver.
-    All files of the folder must share one layout.
+    Only the selected files are read: Spark lists them on the driver anyway, so
+    their paths are all that passes through it.  All files share one layout.
+    ``newest_files`` shows each file's rows once, however often it was touched.
     """
-    oldest = selected.agg(
-        F.date_format(F.min("modified") - F.expr("interval 2 seconds"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
-    if oldest is None:
-        return with_lineage(spark.createDataFrame([], schema), load_dt, load_src, columns)
-    loaded = (
-        load_csv(spark, location, schema, header=header, options={"modifiedAfter": oldest})
-        .withColumn("file_path", F.col("_metadata.file_path"))
-        .join(selected.select("file_path"), "file_path", "left_semi")
-        .drop("file_path")
-    )
-    return with_lineage(good_rows(loaded), load_dt, load_src, columns)
+    paths = [row["file_path"] for row in selected.select("file_path").collect()]
+    if not paths:
+        empty = with_lineage(spark.createDataFrame([], schema), load_dt, load_src, columns)
+        return empty.withColumns({"file_path": F.lit(""), "modified": F.lit(None).cast("timestamp")})
+    loaded = load_csv(spark, paths, schema, header=header)
+    kept = columns or [c for c in loaded.columns if c != CORRUPT]
+    from_file = loaded.withColumns({
+        "file_path": F.col("_metadata.file_path"), "modified": F.col("_metadata.file_modification_time")})
+    return with_lineage(good_rows(from_file), load_dt, load_src, [*kept, "file_path", "modified"])
+
+
+def newest_files(loaded: DataFrame) -> DataFrame:
+    """Rows of the latest reading of every file: a file touched and loaded again replaces its old rows.
+
+    The latest times are one row per file and join the rows; they are not ranked.
+    """
+    latest = loaded.groupBy("file_path").agg(F.max(F.struct("modified", "batch_id")).alias("latest"))
+    newest = latest.select("file_path", "latest.modified", "latest.batch_id")
+    return loaded.join(newest, ["file_path", "modified", "batch_id"], "left_semi").drop("file_path", "modified", "batch_id")
 
 
 def with_lineage(rows: DataFrame, load_dt: Column, load_src: str, columns: list[str] | None = None) -> DataFrame:

@@ -47,9 +47,10 @@ def outbox_increment(
     Rows above the stored id are loaded already only if a run died before it
     moved the state, so no more of the target is read.
     """
-    last = int(load_state.read(state, layer, origin, table, load_state.FIRST_ID))
-    batch = source.where(F.col("id") > last)
-    fresh = new_rows(loaded.where(F.col("id") > last), batch, ["id"], [F.col("event_ts"), F.col("event_value")])
+    last = load_state.read(state, layer, origin, table)
+    above = F.lit(True) if last is None else F.col("id") > int(last)
+    batch = source.where(above)
+    fresh = new_rows(loaded.where(above), batch, ["id"], [F.col("event_ts"), F.col("event_value")])
     moved = load_state.progress(batch, layer, origin, table, F.col("id"), run_id)
     return fresh.select(loaded.columns), load_state.advance(state, moved)
 

@@ -221,7 +221,7 @@ def test_group_limit_runs_before_the_shuffle(spark):
 def test_load_state(spark):
     batch = spark.createDataFrame([(3,), (9,)], "id int")
     state = load_state.empty(spark)
-    assert load_state.read(state, "stg", "s", "t", load_state.FIRST_ID) == "0"
+    assert load_state.read(state, "stg", "s", "t") is None
     state = load_state.advance(state, load_state.progress(batch, "stg", "s", "t", F.col("id"), 1))
     state = load_state.advance(state, load_state.progress(batch.where("id > 100"), "stg", "s", "t", F.col("id"), 2))
-    assert load_state.read(state, "stg", "s", "t", load_state.FIRST_ID) == "9"
+    assert load_state.read(state, "stg", "s", "t") == "9"

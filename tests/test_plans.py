@@ -150,10 +150,10 @@ def test_home_city(spark):
     assert home(("A", (1, 1), 30), ("B", (2, 1), 27), ("A", (3, 1), 2)) == "A"
 
 
-def test_travel_pages(spark):
+def test_travel_lists(spark):
     s = stays(spark, *[("ABC"[n % 3], (1, 1 + n), 1) for n in range(5)])
-    pages = geo_marts.travel_pages(geo_marts.travel_history(s), 2)
-    assert {r.travel_page: r.travel_array for r in pages.collect()} == {0: ["A", "B"], 1: ["C", "A"], 2: ["B"]}
+    lists = geo_marts.travel_lists(geo_marts.travel_history(s))
+    assert [r.travel_array for r in lists.collect()] == [["A", "B", "C", "A", "B"]]
 
 
 def geo_log(spark, rows):

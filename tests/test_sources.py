@@ -110,16 +110,17 @@ def test_outbox_filter_is_pushed_down(spark, tmp_path):
     fresh, moved = relational.outbox_increment(source, tables.empty_like(source), state, 2)
     assert "GreaterThan(id,6)" in fresh._jdf.queryExecution().executedPlan().toString()
     assert values(fresh, "id") == [(7,), (8,), (9,)]
-    assert load_state.read(moved, "stg", "outbox", "events", "0") == "9"
+    assert load_state.read(moved, "stg", "outbox", "events") == "9"
 
 
-def test_document_cap_skips_nothing(spark):
+def test_first_load_takes_old_documents(spark):
     rows = [("a", "1", 1), ("b", "1", 2), ("c", "1", 2), ("d", "1", 3), ("a", "2", 4)]
     source = spark.createDataFrame(
-        [(k, v, datetime(2024, 1, d)) for k, v, d in rows], "object_id string, object_value string, update_ts timestamp_ntz")
+        [(k, v, datetime(1999, 1, d)) for k, v, d in rows], "object_id string, object_value string, update_ts timestamp_ntz")
     target, state, sizes = tables.empty_like(source), load_state.empty(spark), []
-    for run in (1, 2, 3):
-        target, state = documents.documents_increment(source, target, state, "orders", run, max_rows=2)
+    for run, day in enumerate((2, 3, 4), start=1):
+        arrived = source.where(F.day("update_ts") <= day)
+        target, state = documents.documents_increment(arrived, target, state, "orders", run)
         target, state = stored(target, "docs"), stored(state, "state")
         sizes.append(target.count())
     assert sizes == [3, 4, 4]
