@@ -37,6 +37,23 @@ def with_document(df: DataFrame, text: str, schema: str, into: str = "doc") -> D
     return df.select("*", F.explode(F.array(F.from_json(F.col(text).cast("string"), schema))).alias(into))
 
 
+def json_rejects(df: DataFrame, text: str, schema: str, required: list[str]) -> DataFrame:
+    """Rows whose JSON text cannot be used, with the ``reason``: ``broken`` or ``missing <field>``.
+
+    The complement of what a parser keeps.  All columns stay, so the text can be
+    mended and sent again.
+    """
+    broken = "_broken_text"
+    parsed = F.from_json(
+        F.col(text).cast("string"), f"{schema}, {broken} string", {"columnNameOfCorruptRecord": broken})
+    doc = F.col("__doc")
+    reason = F.when(doc.isNull() | doc[broken].isNotNull(), F.lit("broken"))
+    for field in required:
+        reason = reason.when(F.get(F.array(doc[field]), F.lit(0)).isNull(), F.lit(f"missing {field}"))
+    return df.select("*", F.explode(F.array(parsed)).alias("__doc")).withColumn("reason", reason).where(
+        "reason is not null").drop("__doc")
+
+
 def with_parsed(df: DataFrame, text: str, schema: str, keep: list[str] | None = None) -> DataFrame:
     """Add the fields of a JSON text as columns, next to all or only the ``keep`` columns."""
     kept = df.columns if keep is None else keep

@@ -70,12 +70,12 @@ filled as (
     last_value(lat ignore nulls) over w as m_lat, last_value(lng ignore nulls) over w as m_lng
   from geo window w as (partition by user_id order by ts, event_id
     rows between unbounded preceding and current row)),
-placed as (
-  select * from (
+ranked as (
     select f.*, zones.zone_id, zones.city, {_km('f.m_lat', 'f.m_lng', 'zones.lat', 'zones.lng')} as km,
       row_number() over (partition by event_id
         order by {_km('f.m_lat', 'f.m_lng', 'zones.lat', 'zones.lng')}, zones.zone_id) as r
-    from filled f, zones where f.m_lat is not null) where r = 1),
+    from filled f, zones where f.m_lat is not null),
+placed as (select * from ranked where r = 1),
 marked as (
   select *, lag(city) over (partition by user_id order by ts, event_id) as before from located),
 arrivals as (select user_id, event_id, city, ts from marked where before is null or before <> city),
@@ -147,7 +147,8 @@ def _geo() -> dict[str, str]:
                        " cast(ts as date) as date from geo where is_message",
         "geo_nearest_city": "select event_id, user_id, ts, zone_id, city, timezone,"
                             " round(km, 6) as distance_km from located",
-        "geo_nearest_rank": "select event_id, zone_id, round(km, 6) as distance_km, 1 as rank from placed",
+        "geo_nearest_rank": "select event_id, zone_id, round(km, 6) as distance_km, cast(r as int) as rank"
+                            " from ranked where r <= 3",
         "geo_nearest_grid": "select event_id, zone_id, city, round(km, 6) as distance_km from placed",
         "last_known_location": "select event_id, user_id, m_lat, m_lng from filled",
         "city_stays": "select * from stays",
@@ -573,6 +574,10 @@ def _loads() -> dict[str, str]:
                                  " cast(c_custkey * 10 + j as varchar) as product_id, 'dish ' || j as name,"
                                  " cast(100 + c_custkey % 90 + case when j % 2 = 0 then 5 else 0 end as double) as price"
                                  " from (select *, unnest(range(0, 10)) as j from customer)",
+        "json_rejects": "select o_orderkey, parser, reason from (select o_orderkey, 'envelope' as parser, case o_orderkey % 7"
+                        " when 2 then 'broken' when 3 then 'unknown type' when 4 then 'missing object_type' end as reason"
+                        " from orders union all select o_orderkey, 'order', case o_orderkey % 7 when 5 then"
+                        " 'missing object_id' when 6 then 'broken' end from orders) where reason is not null",
         "api_snapshot_landing": "select cast(s_suppkey as varchar) as courier_id, s_name as name,"
                                 " count(*) over () as loaded_rows from supplier where s_acctbal >= 0",
         "daily_slices": "select event_id, ts, 'relational' as load_src, cast(ts as date) as load_day"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom import schemas
 from martloom.functions.keys import known_uuid3, uuid3
-from martloom.functions.text import address_parts, with_parsed
+from martloom.functions.text import address_parts, json_rejects, with_parsed
 from martloom.operators.joins import with_placeholders
 from martloom.operators.writes import first_per_key
 
@@ -39,6 +39,11 @@ def parse_deliveries(landed: DataFrame) -> DataFrame:
         "order_ts": F.to_timestamp_ntz("order_ts"), "delivery_ts": F.to_timestamp_ntz("delivery_ts")})
 
 
+def delivery_rejects(landed: DataFrame) -> DataFrame:
+    """Delivery texts that are broken or lack an id, with the reason."""
+    return json_rejects(landed, "content", schemas.DELIVERY, ["order_id", "delivery_id", "courier_id"])
+
+
 def dim_couriers(couriers: DataFrame, deliveries: DataFrame) -> DataFrame:
     """Known couriers, and a placeholder for each courier only deliveries mention."""
     placeholder = F.concat(F.lit(PLACEHOLDER_PREFIX), F.col("courier_id"))

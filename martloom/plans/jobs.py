@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martloom import schemas
 from martloom.operators import state as load_state
 from martloom.plans import couriers, geo_marts, messenger, metrics, order_vault, settlement
-from martloom.session import stored
-from martloom.sources import documents, events, files, tables
+from martloom.session import stored, work_folders_removed
+from martloom.sources import documents, events, files, relational, tables
+from martloom.streaming import campaigns, flow
 
 
 def _existing(spark: SparkSession, location: str, like: DataFrame) -> DataFrame:
@@ -66,6 +67,7 @@ def settlement_job(users: DataFrame, restaurants: DataFrame, orders: DataFrame,
 
 def courier_job(courier_content: DataFrame, delivery_content: DataFrame, out: str, floor_per: str = "month") -> None:
     """Landed courier and delivery texts -> dimensions, fact and courier ledger."""
+    tables.overwrite(couriers.delivery_rejects(delivery_content), f"{out}/deliveries_rej")
     deliveries = stored(couriers.parse_deliveries(delivery_content), "deliveries")
     spark = deliveries.sparkSession
     made = {
@@ -126,15 +128,80 @@ def geo_job(spark: SparkSession, events_location: str, zones_location: str, out:
 # --- order events ----------------------------------------------------------------------------
 
 def order_job(messages: DataFrame, users: DataFrame, restaurants: DataFrame, out: str, load_dt, batch_id: int) -> None:
-    """A batch of order messages -> vault rows not there yet, and counters over the whole vault."""
-    raw = order_vault.parse_order_events(messages)
-    lines = stored(order_vault.order_lines(order_vault.enrich_orders(raw, users, restaurants)), "order_lines")
-    for name, df in order_vault.order_vault(lines, load_dt).items():
-        tables.append_new(df, f"{out}/{name}", [order_vault.primary_key(name)], batch_id)
-    tables.append_batch(lines, f"{out}/order_lines", batch_id)
-    history = lines.sparkSession.read.parquet(f"{out}/order_lines")
-    for by in ("product", "category"):
-        tables.overwrite(order_vault.order_counters(history, by), f"{out}/user_{by}_counters")
+    """A batch of order messages -> vault rows not there yet, counters brought up to date, rejects.
+
+    The counters are sums of one delta per batch, counted from the triples no
+    earlier batch has brought: earlier order lines are not read.  Every write
+    goes to the batch's own folder, so repeating a batch changes nothing.
+    """
+    spark = messages.sparkSession
+    with work_folders_removed(spark):
+        tables.append_batch(order_vault.order_rejects(messages), f"{out}/orders_rej", batch_id)
+        raw = order_vault.parse_order_events(messages)
+        lines = stored(order_vault.order_lines(order_vault.enrich_orders(raw, users, restaurants)), "order_lines")
+        for name, df in order_vault.order_vault(lines, load_dt).items():
+            tables.append_new(df, f"{out}/{name}", [order_vault.primary_key(name)], batch_id)
+        for by in ("product", "category"):
+            triples, keys = order_vault.counted_triples(lines, by)
+            tables.append_new(triples, f"{out}/{by}_orders", keys, batch_id)
+            new = spark.read.schema(triples.schema).parquet(f"{out}/{by}_orders/batch_id={batch_id}")
+            tables.append_batch(order_vault.counter_deltas(new, by), f"{out}/{by}_deltas", batch_id)
+            tables.overwrite(
+                order_vault.summed_counters(spark.read.parquet(f"{out}/{by}_deltas"), by), f"{out}/user_{by}_counters")
+
+
+# --- incremental loads ----------------------------------------------------------------------------
+
+def _appended(spark: SparkSession, location: str, like: DataFrame) -> DataFrame:
+    """Rows of an appended table so far."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    there = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+    return spark.read.schema(like.schema).parquet(location).select(like.columns) if there else tables.empty_like(like)
+
+
+def outbox_job(source: DataFrame, out: str, run_id: int) -> None:
+    """Outbox rows above the stored id -> ``out/events``; the state moves after the rows are there."""
+    spark = source.sparkSession
+    with work_folders_removed(spark):
+        fresh, state = relational.outbox_increment(
+            source, _appended(spark, f"{out}/events", source), _state(spark, out), run_id)
+        state = stored(state, "load_state")
+        tables.append_batch(fresh, f"{out}/events", run_id)
+        tables.publish(state, f"{out}/load_state")
+
+
+def api_job(landed: DataFrame, out: str, run_id: int, load_ts, snapshot: bool = False) -> None:
+    """Landed payload texts -> ``out/payloads``: a snapshot by content, or deliveries from the stored second on."""
+    spark = landed.sparkSession
+    stamp = F.lit(load_ts).cast("timestamp_ntz")
+    with work_folders_removed(spark):
+        loaded = _appended(spark, f"{out}/payloads", spark.createDataFrame([], documents.LANDED))
+        if snapshot:
+            tables.append_batch(documents.api_snapshot(landed, loaded, stamp), f"{out}/payloads", run_id)
+            return
+        fresh, state = documents.api_increment(landed, loaded, _state(spark, out), run_id, stamp)
+        state = stored(state, "load_state")
+        tables.append_batch(fresh, f"{out}/payloads", run_id)
+        tables.publish(state, f"{out}/load_state")
+
+
+def day_slices_job(source: DataFrame, column: str, out: str, until, since=None) -> None:
+    """Whole days of a relation -> ``out``, each replacing itself; repeating a run changes nothing."""
+    tables.replace_slices(relational.day_slices(source, column, until, since), out, "load_day")
+
+
+def campaign_job(
+    messages: DataFrame, subscribers: DataFrame, out: str, *sinks, now: int | None = None, every: str | None = None,
+):
+    """Offer stream -> subscribers' notifications in all sinks, with a checkpoint below ``out``.
+
+    The audience is published once, one row per client and restaurant, so that
+    no batch ranks the subscribers again.
+    """
+    spark = subscribers.sparkSession
+    tables.publish(campaigns.static_subscribers(subscribers), f"{out}/audience", sort_by=["restaurant_id"])
+    pushed = campaigns.push_to(messages, tables.latest(spark, f"{out}/audience"), now)
+    return flow.start(pushed, flow.fan_out(*sinks), f"{out}/checkpoint", every=every)
 
 
 # --- metrics -----------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom import schemas
 from martloom.functions.keys import uuid3
-from martloom.functions.text import with_parsed
+from martloom.functions.text import json_rejects, with_parsed
 from martloom.operators.vault import hub, lineage, link, satellite
 
 # Source name in the vault, stand-ins for what the dictionaries lack.
@@ -23,6 +23,11 @@ def parse_order_events(messages: DataFrame) -> DataFrame:
         F.get_json_object("value", "$.payload").alias("payload_text"))
 
 
+def order_rejects(messages: DataFrame) -> DataFrame:
+    """Messages that are no order event, with the reason."""
+    return json_rejects(messages, "value", schemas.ORDER_EVENT, ["object_id"])
+
+
 def _menu_map(menu: str) -> Column:
     """Category by item id.  If a menu lists an item more than once, the smallest category counts."""
     items = F.array_distinct(F.transform(menu, lambda m: m["_id"]))
@@ -132,6 +137,29 @@ def counter_messages(lines: DataFrame) -> DataFrame:
         uuid3("category_name").alias("category_id"), "category_name", uuid3("order_id").alias("order_id"))
 
 
+def counted_triples(lines: DataFrame, by: str) -> tuple[DataFrame, list[str]]:
+    """What a counter counts once: (user, ``product`` or ``category``, order), and the key columns."""
+    keys = ["user_id", BUSINESS_KEY[by], "order_id"]
+    rest = [c for c in [f"{by}_name"] if c not in keys]
+    return lines.where(F.col("product_id").isNotNull()).select(*keys, *rest), keys
+
+
+def counter_deltas(triples: DataFrame, by: str) -> DataFrame:
+    """Counts of triples that are new."""
+    business, name = BUSINESS_KEY[by], f"{by}_name"
+    names = [] if business == name else [F.min(name).alias(name)]
+    return triples.groupBy("user_id", business).agg(F.count(F.lit(1)).alias("order_cnt"), *names)
+
+
+def summed_counters(deltas: DataFrame, by: str) -> DataFrame:
+    """The counters from the deltas of all batches."""
+    business, name = BUSINESS_KEY[by], f"{by}_name"
+    names = [] if business == name else [F.min(name).alias(name)]
+    total = deltas.groupBy("user_id", business).agg(F.sum("order_cnt").alias("order_cnt"), *names)
+    return total.select(
+        uuid3("user_id").alias("user_id"), uuid3(business).alias(f"{by}_id"), name, "order_cnt")
+
+
 def order_counters(lines: DataFrame, by: str) -> DataFrame:
     """Distinct orders per user and ``product`` or ``category``.
 

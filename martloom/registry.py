@@ -17,7 +17,7 @@ from martloom.functions.keys import uuid3
 from martloom.functions.text import document_id, with_document
 from martloom.operators import state as load_state
 from martloom.operators.joins import orphans
-from martloom.operators.nearest import nearest_zone
+from martloom.operators.nearest import nearest_zone, nearest_zones
 from martloom.operators.pairs import channel_members, channel_pairs, contact_pairs, never_contacted
 from martloom.operators.writes import (
     additive_upsert, insert_if_absent, merge_insert_only, upsert_last_wins)
@@ -84,10 +84,9 @@ def _delivery_tables(i: Inputs) -> tuple[DataFrame, DataFrame]:
 
 
 def _ledger_inputs(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    """The fact straight from the delivery rows, without the detour over JSON text."""
-    rows = i.delivery_rows
-    dim = couriers.dim_couriers(couriers.parse_couriers(i.courier_content), rows.select("courier_id"))
-    return couriers.fact_deliveries(rows), dim
+    """Fact and dimension from the landed JSON texts."""
+    deliveries, dim = _delivery_tables(i)
+    return couriers.fact_deliveries(deliveries), dim
 
 
 @_query
@@ -296,8 +295,9 @@ def geo_nearest_city(i: Inputs) -> DataFrame:
 
 @_query
 def geo_nearest_rank(i: Inputs) -> DataFrame:
-    located = geo_marts.located_events(i.geo_events, _zones(i))
-    return _rounded(located.select("event_id", "zone_id", "distance_km", F.lit(1).alias("rank")))
+    """The three nearest zones of every placed event, by rank."""
+    points = geo_marts.last_known_location(i.geo_events).where("m_lat is not null").select("event_id", "m_lat", "m_lng")
+    return _rounded(nearest_zones(points, _zones(i), 3, "m_lat", "m_lng").select("event_id", "zone_id", "distance_km", "rank"))
 
 
 @_query
@@ -600,6 +600,24 @@ def envelope_transactions(i: Inputs) -> DataFrame:
         documents.parse_envelopes(i.envelopes), F.lit(LOAD_DT).cast("timestamp_ntz"))
 
 
+@_query
+def json_rejects(i: Inputs) -> DataFrame:
+    """Order events and envelopes of which some are cut, some lack a field, some are of an unknown type."""
+    order = i.table("orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("object_id"))
+    kind = F.pmod(F.col("o_orderkey"), F.lit(7))
+    named = order.withColumns({
+        "object_type": F.when(kind == 3, F.lit("OTHER")).when(kind != 4, F.lit("TRANSACTION")),
+        "payload": F.lit("{}")})
+    text = F.to_json(F.struct("object_id", "object_type", "payload"))
+    envelopes = named.select("o_orderkey", F.when(kind == 2, F.substring(text, 1, 20)).otherwise(text).alias("value"))
+    event = F.to_json(F.struct(F.when(kind != 5, F.col("o_orderkey")).alias("object_id"), F.lit("order").alias("object_type")))
+    events_ = order.select("o_orderkey", F.when(kind == 6, F.substring(event, 1, 10)).otherwise(event).alias("value"))
+    return (
+        documents.envelope_rejects(envelopes).withColumn("parser", F.lit("envelope"))
+        .unionByName(order_vault.order_rejects(events_).withColumn("parser", F.lit("order")))
+        .select("o_orderkey", "parser", "reason"))
+
+
 def _first_orders(i: Inputs) -> DataFrame:
     return i.table("orders").select("o_custkey", F.col("o_orderdate").alias("first_order"))
 

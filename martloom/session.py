@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +47,22 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="martloom-")
-    return f"{base.rstrip('/')}/martloom/{name}-{uuid.uuid4().hex}"
+    location = f"{base.rstrip('/')}/martloom/{name}-{uuid.uuid4().hex}"
+    _made.append(location)
+    return location
+
+
+_made: list[str] = []
+
+
+@contextmanager
+def work_folders_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders of ``work_dir`` and ``stored`` made inside, when a job has published its results."""
+    before = len(_made)
+    yield
+    while len(_made) > before:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom import schemas
-from martloom.functions.text import with_parsed
+from martloom.functions.text import json_rejects, with_parsed
 from martloom.operators import state as load_state
 from martloom.operators.writes import first_per_key, new_rows, upsert_last_wins
 
@@ -70,6 +70,15 @@ def parse_envelopes(messages: DataFrame) -> DataFrame:
     return with_parsed(messages, "value", schemas.ENVELOPE, keep=[])
 
 
+def envelope_rejects(messages: DataFrame, known: tuple[str, ...] = ("CURRENCY", "TRANSACTION")) -> DataFrame:
+    """Envelopes the router cannot use, with the reason: broken texts, missing fields, unknown object types."""
+    unusable = json_rejects(messages, "value", schemas.ENVELOPE, ["object_type", "payload"])
+    kind = F.get_json_object("value", "$.object_type")
+    other = messages.where(~kind.isin(*known)).join(
+        unusable.select("value").distinct(), "value", "left_anti").withColumn("reason", F.lit("unknown type"))
+    return unusable.unionByName(other.select(unusable.columns))
+
+
 def envelope_rows(envelopes: DataFrame, object_type: str, schema: str, load_src: str, load_dt: Column) -> DataFrame:
     """Payload rows of one object type with lineage columns."""
     return (

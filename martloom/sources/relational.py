@@ -21,6 +21,8 @@ def jdbc_options(
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
     options.update({k: v for k, v in {"driver": driver, "user": user, "password": password}.items() if v})
     if partition_column:
+        if bounds is None:
+            raise ValueError("a partition column needs bounds: the smallest and largest value to divide")
         low, high = bounds
         options.update(
             partitionColumn=partition_column, lowerBound=str(low), upperBound=str(high),

@@ -64,14 +64,15 @@ def append_batch(df: DataFrame, location: str, batch_id: int) -> None:
 def append_new(df: DataFrame, location: str, keys: list[str], batch_id: int) -> None:
     """Append the rows whose key no earlier batch has brought; only keys are read back.
 
-    Batches count from 0.
+    Batch numbers rise; the first may be any.
     """
     spark = df.sparkSession
     schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys) + ", batch_id int"
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    known = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
     earlier = (
-        spark.read.schema(schema).option("basePath", location).parquet(f"{location}/batch_id=*")
-        .where(F.col("batch_id") < batch_id)
-        if batch_id > 0 else spark.createDataFrame([], schema))
+        spark.read.schema(schema).parquet(location).where(F.col("batch_id") < batch_id)
+        if known else spark.createDataFrame([], schema))
     append_batch(new_rows(earlier, df, keys, [F.col(keys[0])]), location, batch_id)
 
 

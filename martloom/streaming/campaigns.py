@@ -50,6 +50,13 @@ def campaign_push(
     Filter first, then de-duplicate: an expired message cannot hide a valid
     one.  A restaurant with very many subscribers is spread over ``salts`` tasks.
     """
+    return push_to(messages, static_subscribers(subscribers), now, delay, salts)
+
+
+def push_to(
+    messages: DataFrame, audience: DataFrame, now: int | None = None, delay: str = "1 day", salts: int = 16
+) -> DataFrame:
+    """``campaign_push`` for subscribers that hold one row per client and restaurant already."""
     offers = first_offers(active_campaigns(parse_campaigns(messages), now), delay)
-    audience = static_subscribers(subscribers).select("client_id", "restaurant_id")
+    audience = audience.select("client_id", "restaurant_id")
     return salted_join(audience, offers, ["restaurant_id"], ["client_id"], salts).select(*OUT_COLUMNS)

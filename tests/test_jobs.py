@@ -5,9 +5,10 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from martloom import schemas
-from martloom.bindings import AS_OF, LOAD_DT, Inputs
+from martloom.bindings import AS_OF, CAMPAIGN_NOW, LOAD_DT, Inputs
 from martloom.plans import geo_marts, jobs, messenger, order_vault
 from martloom.sources import events, tables
+from martloom.streaming import flow
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -72,15 +73,19 @@ def test_geo_job_on_a_log_without_event_ids(spark, inputs, tmp_path):
 def test_order_job_batches(spark, inputs, tmp_path):
     out = str(tmp_path)
     half = F.pmod(F.hash("value"), F.lit(2)) == 0
-    for batch, messages in enumerate((inputs.order_events.where(half), inputs.order_events)):
+    broken = spark.createDataFrame([("{\"object_id\": 1, ",)], "value string")
+    batches = (inputs.order_events.where(half), inputs.order_events, inputs.order_events.where(half).unionByName(broken))
+    for batch, messages in enumerate(batches):
         jobs.order_job(messages, inputs.user_entries, inputs.restaurant_entries, out, LOAD_DT, batch)
     raw = order_vault.parse_order_events(inputs.order_events)
     lines = order_vault.order_lines(order_vault.enrich_orders(raw, inputs.user_entries, inputs.restaurant_entries))
     for name, df in order_vault.order_vault(lines, LOAD_DT).items():
         if name in ("h_order", "l_order_product", "s_user_names"):
             assert values(spark.read.parquet(f"{out}/{name}"), *df.columns) == values(df)
-    assert values(spark.read.parquet(f"{out}/user_product_counters")) == values(
-        order_vault.order_counters(lines, "product"))
+    jobs.order_job(batches[2], inputs.user_entries, inputs.restaurant_entries, out, LOAD_DT, 2)  # sent again
+    for by in ("product", "category"):
+        assert values(spark.read.parquet(f"{out}/user_{by}_counters")) == values(order_vault.order_counters(lines, by))
+    assert values(spark.read.parquet(f"{out}/orders_rej"), "value", "reason") == [("{\"object_id\": 1, ", "broken")]
 
 
 def test_metrics_job_over_files(spark, inputs, tmp_path):
@@ -105,3 +110,60 @@ def test_metrics_job_over_files(spark, inputs, tmp_path):
     assert count == plain.count() and second.count() > days
     count, third = run(3)
     assert count == plain.count() and values(third) == values(second)
+
+
+def test_outbox_job_after_a_stop(spark, inputs, tmp_path):
+    """A run that wrote its rows but not its state is repeated without doubling any."""
+    out = str(tmp_path)
+    older = inputs.outbox.where("id < 1000")
+    jobs.outbox_job(older, out, 1)
+    tables.append_batch(inputs.outbox.where("id >= 1000 and id < 1500"), f"{out}/events", 2)
+    jobs.outbox_job(inputs.outbox, out, 3)
+    jobs.outbox_job(inputs.outbox, out, 4)
+    rows = spark.read.parquet(f"{out}/events")
+    assert rows.count() == rows.select("id").distinct().count() == inputs.outbox.select("id").distinct().count()
+
+
+def test_api_job_repeats(spark, inputs, tmp_path):
+    out, wanted = str(tmp_path), inputs.delivery_content.distinct().count()
+    early = F.get_json_object("content", "$.delivery_ts") < "2027-01-01"
+    for run, landed in enumerate((inputs.delivery_content.where(early), inputs.delivery_content, inputs.delivery_content), 1):
+        jobs.api_job(landed, out, run, LOAD_DT)
+    assert spark.read.parquet(f"{out}/payloads").count() == wanted
+    for run in (1, 2):
+        jobs.api_job(inputs.courier_content, f"{out}/couriers", run, LOAD_DT, snapshot=True)
+    assert spark.read.parquet(f"{out}/couriers/payloads").count() == inputs.courier_content.distinct().count()
+
+
+def test_day_slices_job_repeats(spark, inputs, tmp_path):
+    source = inputs.table("events")
+    for since in (None, "2024-01-10"):
+        jobs.day_slices_job(source, "ts", str(tmp_path), "2024-01-20", since)
+    assert spark.read.parquet(str(tmp_path)).count() == source.where("ts < '2024-01-20'").count()
+
+
+def test_metrics_upsert_keeps_whole_days(spark, tmp_path):
+    def rows(*amounts):
+        return spark.createDataFrame([(f"{n}", n, 430, "done", n, f"2024-01-0{d} 10:00:00") for n, d in amounts],
+            "operation_id string, account_number_from long, currency_code int, status string, amount long, at string").selectExpr(
+            "*", "timestamp_ntz'2024-01-01 05:00:00' as transaction_dt", "cast(at as timestamp_ntz) as load_dt").drop("at")
+    rates = spark.sql(
+        "select timestamp_ntz'2024-01-01 00:00:00' as date_update, 430 as currency_code, 420 as currency_code_with,"
+        " cast(1 as decimal(5,3)) as currency_with_div, timestamp_ntz'2024-01-01 00:00:00' as load_dt")
+    for run, staged in ((1, rows((100, 1))), (2, rows((100, 1), (50, 3)))):
+        jobs.metrics_job(staged, rates, str(tmp_path), f"2024-01-0{run + 3} 00:00:00", run, mode="upsert")
+    got = tables.latest(spark, f"{tmp_path}/global_metrics").collect()
+    assert [(int(r.amount_total), r.cnt_transactions) for r in got] == [(150, 2)]
+
+
+def test_campaign_job(spark, inputs, tmp_path):
+    out = str(tmp_path)
+    inputs.campaign_messages.write.parquet(f"{out}/in")
+    stream = flow.message_stream(spark, "parquet", {}, f"{out}/in")
+    for _ in range(2):  # the second start finds nothing new
+        jobs.campaign_job(
+            stream, inputs.subscribers, out, flow.table_sink(f"{out}/sent"), flow.json_sink(f"{out}/topic"),
+            now=CAMPAIGN_NOW).awaitTermination()
+    sent = spark.read.parquet(f"{out}/sent")
+    assert sent.count() == sent.select("client_id", "restaurant_id", "adv_campaign_id").distinct().count() > 0
+    assert spark.read.text(f"{out}/topic").count() == sent.count()
