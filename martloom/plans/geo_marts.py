@@ -168,7 +168,7 @@ def friend_recommendations(
     events: DataFrame, zones: DataFrame, processed_dttm, within_km: float = 1.0
 ) -> DataFrame:
     """Users who share a channel, never wrote to each other and are near; zone and time of the left one."""
-    positions = final_coordinates(events)
+    positions = stored(final_coordinates(events), "positions")
     pairs = never_contacted(
         channel_pairs(channel_members(events), positions, within_km), contact_pairs(events))
     homes = nearest_zone(positions, zones).select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.operators.ordered import changes, hourly
 from martloom.operators.vault import hub, lineage, link, satellite
+from martloom.session import stored
 
 
 def event_changes(group_log: DataFrame) -> DataFrame:
@@ -19,9 +20,14 @@ def event_changes(group_log: DataFrame) -> DataFrame:
 
 
 def messenger_vault(
-    users: DataFrame, groups: DataFrame, dialogs: DataFrame, group_log: DataFrame, load_dt, load_src: str = "s3"
+    users: DataFrame, groups: DataFrame, dialogs: DataFrame, group_log: DataFrame, load_dt, load_src: str = "s3",
+    store_parents: bool = False,
 ) -> dict[str, DataFrame]:
-    """All hubs, links and satellites by name."""
+    """All hubs, links and satellites by name.
+
+    ``store_parents`` writes the hubs of users and groups once, for those who
+    use several tables that depend on them.
+    """
     load = lineage(load_dt, load_src)
     users = users.withColumnRenamed("id", "user_id")
     groups = groups.withColumnsRenamed({"id": "group_id", "admin_id": "user_id"})
@@ -33,6 +39,8 @@ def messenger_vault(
     t["hub_users"] = hub(users, "hk_user_id", "user_id", ["registration_dt"], load)
     t["hub_messages"] = hub(dialogs, "hk_message_id", "message_id", ["datetime"], load)
     t["hub_groups"] = hub(groups, "hk_group_id", "group_id", ["registration_dt"], load)
+    if store_parents:
+        t.update({name: stored(t[name], name) for name in ("hub_users", "hub_groups")})
     # A parent that comes from the same staging table exists by construction.
     known_user, known_group = {"user_id": t["hub_users"]}, {"group_id": t["hub_groups"]}
     known_both = {**known_group, **known_user}

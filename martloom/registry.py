@@ -205,8 +205,8 @@ def settlement_report(i: Inputs) -> DataFrame:
 
 # --- messenger -------------------------------------------------------------------
 
-def _messenger(i: Inputs) -> dict[str, DataFrame]:
-    return messenger.messenger_vault(i.users, i.groups, i.dialogs, i.group_log, LOAD_DT)
+def _messenger(i: Inputs, store_parents: bool = False) -> dict[str, DataFrame]:
+    return messenger.messenger_vault(i.users, i.groups, i.dialogs, i.group_log, LOAD_DT, store_parents=store_parents)
 
 
 @_query
@@ -255,12 +255,12 @@ def group_active_users(i: Inputs) -> DataFrame:
 
 @_query
 def group_conversion(i: Inputs) -> DataFrame:
-    return messenger.group_conversion(_messenger(i))
+    return messenger.group_conversion(_messenger(i, store_parents=True))
 
 
 @_query
 def group_conversion_members(i: Inputs) -> DataFrame:
-    return messenger.group_conversion(_messenger(i), members_only=True)
+    return messenger.group_conversion(_messenger(i, store_parents=True), members_only=True)
 
 
 # --- geo -------------------------------------------------------------------------
