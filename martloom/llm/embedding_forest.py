@@ -150,58 +150,68 @@ def _met_before(codes: list[bytes], code: int) -> np.ndarray:
     return member
 
 
-def compare(
-    vectors: np.ndarray, copies: np.ndarray, member: np.ndarray, block: np.ndarray, across: bool, least: float,
-) -> tuple[np.ndarray, np.ndarray]:
-    """(links that count here, smallest row linked through) for the rows of one cell.
-
-    Rows of the same block are compared unless ``across``, then only rows of
-    different blocks.  Every link counts for the components, also one that
-    counted in an earlier cell.
+def _smallest_linked(linked: np.ndarray) -> np.ndarray:
+    """The smallest row reachable from each row over the links."""
+    root = np.arange(len(linked))
+    while True:
+        lower = np.minimum(root, np.where(linked, root[None, :], len(root)).min(axis=1))
+        lower = lower[lower]
+        if (lower == root).all():
+            return root
+        root = lower
+
+
+def _linked_rows(vectors: np.ndarray, block: np.ndarray, across: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(rows with a link, links among them).
+
+    Rows of one cell are compared with each other; if ``across``, only rows of
+    different blocks.
     """
-    n = len(vectors)
     linked = vectors @ vectors.T >= least
     np.fill_diagonal(linked, False)
     if across:
         linked &= block[:, None] != block[None, :]
-    counts = np.zeros(n, np.int64)
-    for first in range(0, n, 512):
-        fresh = linked[first:first + 512]
-        if member.shape[1] and fresh.any():
-            fresh = fresh & ~(member[first:first + 512] @ member.T > 0)
-        counts[first:first + 512] = fresh @ copies
-    root = np.arange(n)
-    while True:
-        lower = np.where(linked, root[None, :], n).min(axis=1, initial=n)
-        lower = np.minimum(root, lower)
-        lower = lower[lower]
-        if (lower == root).all():
-            return counts, root
-        root = lower
+    rows = np.flatnonzero(linked.any(axis=1))
+    return rows, linked[np.ix_(rows, rows)]
 
 
 def _compared(least: float):
+    """(rep, links, other): the links that count in this cell, and a row that the vector is connected to.
+
+    A link that an earlier cell holds as well counts there, but connects here too.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
-        cell = table.column("cell").to_numpy()
-        order = np.lexsort((table.column("rep").to_numpy(), cell))
-        ends = np.flatnonzero(np.diff(cell[order], append=cell[order[-1]] + 1 if cell[order[-1]] < 0 else -1)) + 1
-        for mine in np.split(order, ends[:-1]):
+        table = pa.Table.from_batches(batches).combine_chunks()
+        cell, rep, copies, block, code = (
+            table.column(n).to_numpy() for n in ("cell", "rep", "copies", "block", "code"))
+        across, codes = table.column("across").to_numpy(zero_copy_only=False), table.column("codes")
+        embedding = table.column("embedding").chunk(0)
+        values, start = embedding.flatten().to_numpy(zero_copy_only=False), embedding.offsets.to_numpy()
+        start = start - start[0]
+        order = np.lexsort((rep, cell))
+        ends = np.flatnonzero(cell[order][1:] != cell[order][:-1]) + 1
+        for mine in np.split(order, ends):
             if len(mine) < 2:
                 continue
-            part = table.take(pa.array(mine))
-            rep, copies = part.column("rep").to_numpy(), part.column("copies").to_numpy()
-            block = part.column("block").to_numpy()
-            vectors = unit(_matrix(part.column("embedding").combine_chunks()))
-            member = _met_before(part.column("codes").to_pylist(), part.column("code")[0].as_py())
-            counts, root = compare(vectors, copies, member, block, bool(part.column("across")[0].as_py()), least)
-            keep = (counts > 0) | (root != np.arange(len(root)))
-            if keep.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rep[keep]), pa.array(counts[keep]), pa.array(rep[root][keep])], schema=schema)
+            size = start[mine[0] + 1] - start[mine[0]]
+            vectors = unit(values[start[mine][:, None] + np.arange(size)])
+            found, linked = _linked_rows(vectors, block[mine], bool(across[mine[0]]), least)
+            if not len(found):
+                continue
+            mine = mine[found]
+            member = _met_before(codes.take(pa.array(mine)).to_pylist(), int(code[mine[0]]))
+            counts = np.zeros(len(mine), np.int64)
+            for first in range(0, len(mine), 512):
+                fresh = linked[first:first + 512]
+                if member.shape[1]:
+                    fresh = fresh & ~(member[first:first + 512] @ member.T > 0)
+                counts[first:first + 512] = fresh @ copies[mine]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rep[mine]), pa.array(counts), pa.array(rep[mine][_smallest_linked(linked)])], schema=schema)
     return rows
 
 
@@ -217,7 +227,8 @@ def near_vectors(
     ``least`` or more; a few that no leaf brings together can be missed.
     Repeated vec_ids are rows of their own.  Other columns are not read.
     """
-    vector = F.col("embedding").cast("array<double>")
+    kind = embeddings.schema["embedding"].dataType.simpleString()
+    vector = F.col("embedding").cast(kind if kind in ("array<float>", "array<double>") else "array<double>")
     good = (
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("embedding") > 0)
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -232,22 +243,23 @@ def near_vectors(
             F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
         .withColumn("size", F.size("embedding")), "vector-classes")
     forest = fit(classes, trees, sample)
-    kind = classes.schema["label"].dataType.simpleString()
+    label, vector = (classes.schema[name].dataType.simpleString() for name in ("label", "embedding"))
     routed = stored(
         classes.select("label", "size", "rep", "embedding", "copies").mapInArrow(
-            _routed(forest), f"label {kind}, size int, code long, rep long, copies long, codes binary, embedding array<double>"),
+            _routed(forest), f"label {label}, size int, code long, rep long, copies long, codes binary, embedding {vector}"),
         "routed")
     place = ["label", "size", "code"]
-    large = routed.groupBy(*place).agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select(
-        *place, ((F.col("n") + (BLOCK - 1)) / BLOCK).cast("int").alias("parts"))
+    large = stored(routed.groupBy(*place).agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select(
+        *place, ((F.col("n") + (BLOCK - 1)) / BLOCK).cast("long").alias("parts")), "large-leaves")
+    # The join only finds the leaves to be cut into blocks; without any it would move all vectors for nothing.
+    cut = routed.withColumn("parts", F.lit(1).cast("long")) if large.isEmpty() else (
+        routed.join(large, place, "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long"))))
+    # Each block meets every block: a row goes once to each pair of blocks that its own is in.
     split = (
-        routed.join(large, place, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        cut.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .select("code", "rep", "copies", "codes", "embedding", "block", (F.col("block") != F.col("other")).alias("across"),
-                F.xxhash64(*place, F.least("block", F.col("other").cast("long")),
-                           F.greatest("block", F.col("other").cast("long"))).alias("cell")))
-    # Across two blocks a row says so only if it is told of the other block; rows of one block meet where both are the same.
+                F.xxhash64(*place, F.least("block", "other"), F.greatest("block", "other")).alias("cell")))
     found = stored(
         split.repartition("cell").mapInArrow(_compared(least), "rep long, links long, other long"), "vector-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
