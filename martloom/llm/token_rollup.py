@@ -18,8 +18,9 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from martloom.llm import bloom
 from martloom.llm.exact_dedup import normalised
-from martloom.session import work_dir
+from martloom.session import stored, work_dir
 
 PUT, DELETE = "put", "delete"
 GROUP = ["source", "lang", "tokenizer"]
@@ -124,9 +125,13 @@ def corpus_rollup(documents: DataFrame, labels: DataFrame, tokenizer: str = "byt
     """
     rollup = TokenRollup(documents.sparkSession)
     rollup.commit("1-load", count_tokens(documents, tokenizer).withColumn("op", F.lit(PUT)))
-    low = documents.join(labels.where("quality = 0").select("doc_id").distinct(), "doc_id", "left_semi")
-    revised = low.withColumn("text", normalised(F.col("text")))
-    rollup.commit("2-revise", count_tokens(revised, tokenizer).withColumn("op", F.lit(PUT)))
+    # Texts stay where they are read: a filter of the ids picks them, and only their counts meet the labels.
+    low = stored(labels.where("quality = 0 and doc_id is not null").select(F.col("doc_id").cast("long")).distinct(), "low")
+    bits, _ = bloom.hash_filters(
+        low.select(F.xxhash64("doc_id").alias("code")), "code", bloom.filter_bytes(low.count()))
+    maybe_low = documents.where(bloom.maybe_in(bits, F.xxhash64(F.col("doc_id").cast("long"))))
+    revised = count_tokens(maybe_low.withColumn("text", normalised(F.col("text"))), tokenizer)
+    rollup.commit("2-revise", revised.join(low, "doc_id", "left_semi").withColumn("op", F.lit(PUT)))
     gone = labels.where("toxic = 1").select(
         F.lit(DELETE).alias("op"), "doc_id", F.lit(tokenizer).alias("tokenizer"),
         *[F.lit(None).cast(kind).alias(name) for name, kind in (("source", "string"), ("lang", "string"), ("tokens", "long"))])
