@@ -42,8 +42,9 @@ def exact_groups(documents: DataFrame, max_bytes: int = bloom.MAX_BYTES) -> Data
     twice = _filter(rows.select(code), max_bytes)
     tested = rows.withColumn("again", bloom.maybe_in(twice, code))
     again = tested.where("again")
-    groups = again.groupBy("text_sha256").agg(
-        F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Written, so that the join reads both sides from plain shuffles and a group of many copies can be split.
+    groups = stored(again.groupBy("text_sha256").agg(
+        F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     grouped = again.join(groups, "text_sha256").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     alone = tested.where("not again").select(
