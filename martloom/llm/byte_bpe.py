@@ -27,7 +27,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 NEVER = 1 << 60
 # Pieces and token pairs a Python worker remembers; longer pieces are encoded each time.
-CACHE_PIECES, CACHE_PAIRS, CACHE_LENGTH = 400_000, 600_000, 64
+CACHE_PIECES, CACHE_PAIRS, CACHE_LENGTH = 300_000, 400_000, 64
 # Prefixes that an edit recomputes between two looks at the old table.
 STRIDE = 32
 # Texts of a batch that are answered at once.

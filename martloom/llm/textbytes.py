@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are taken through numpy in blocks of about this many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

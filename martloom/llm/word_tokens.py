@@ -19,7 +19,7 @@ import pyarrow as pa
 from martloom.llm.textbytes import LOWER, SPACE, blocks, hash_spans, spans
 
 # Words a Python worker remembers, in two generations.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 320_000
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[ord("a"):ord("z") + 1] = True
