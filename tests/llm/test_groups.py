@@ -104,6 +104,34 @@ def test_jaccard_edges(spark, docs):
     assert sorted(map(tuple, rows.collect()), key=str) == sorted([(4, 2, 4), (4, 2, 4), (None, 2, None), (9, 0, 9)], key=str)
 
 
+@pytest.mark.parametrize("link", [30, 60, 75, 90])
+def test_window_bound_of_all_sizes(spark, link):
+    """No pair of sizes can share fewer shingles in both windows than each of the two needs."""
+    for n in range(1, 160):
+        shown, needed = map(int, jaccard_join._window(n, link))
+        for m in range(n, 100 * n // link + 1):
+            both = -(-link * (n + m) // (100 + link))
+            if both <= n:
+                other, other_needed = map(int, jaccard_join._window(m, link))
+                assert min(shown - n, other - m) + both >= max(needed, other_needed), (n, m)
+    sizes = spark.range(1, 400).withColumn("n", F.col("id"))
+    for r in sizes.select("n", jaccard_join._needed(F.col("n"), link).alias("needed")).collect():
+        assert r.needed == jaccard_join._window(r.n, link)[1]
+
+
+def test_jaccard_nested_sets(spark, docs):
+    """Links of exactly 75 % between a text and its continuation, where either window may lack the shared shingles."""
+    pick = np.random.default_rng(5)
+    rows = {}
+    for small, large, pairs in ((3, 4, 60), (6, 8, 60), (15, 20, 1500)):
+        for _ in range(pairs):
+            words = [f"w{k}" for k in pick.integers(0, 10**9, large + 4)]
+            rows[len(rows)] = " ".join(words[:small + 4])
+            rows[len(rows)] = " ".join(words)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(list(rows.items()))).collect()}
+    assert got == jaccard_groups(rows)
+
+
 # --- exact dedup --------------------------------------------------------------------------------
 
 def test_exact_dedup(spark, docs):
