@@ -113,13 +113,13 @@ def maybe_in(bits: np.ndarray, code: Column) -> Column:
 def anti_join(rows: DataFrame, key: str, gone: DataFrame, gone_key: str, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``rows`` whose key is not in ``gone``: rows outside a filter of its keys pass without a shuffle.
 
-    A null key equals a null key.  ``gone`` is read several times and should be stored.
+    Both keys have one type.  A null key equals a null key, and every row of a key goes, so the key must name
+    what was decided on.  ``gone`` is read several times and should be stored.
     """
     bits, _ = hash_filters(
-        gone.select(F.xxhash64(F.col(gone_key).cast("long")).alias("code")), "code",
-        filter_bytes(gone.count(), max_bytes=max_bytes))
+        gone.select(F.xxhash64(gone_key).alias("code")), "code", filter_bytes(gone.count(), max_bytes=max_bytes))
     flag = "__may_be_gone"
-    tested = rows.withColumn(flag, maybe_in(bits, F.xxhash64(F.col(key).cast("long"))))
+    tested = rows.withColumn(flag, maybe_in(bits, F.xxhash64(key)))
     sure = tested.where(~F.col(flag)).drop(flag)
     doubtful = tested.where(flag).drop(flag)
     return sure.unionByName(doubtful.join(gone, F.col(key).eqNullSafe(F.col(gone_key)), "left_anti"))

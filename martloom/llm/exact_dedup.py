@@ -9,7 +9,7 @@ and find the row that stays.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martloom.llm import bloom
 from martloom.session import stored
@@ -54,10 +54,18 @@ def exact_groups(documents: DataFrame, max_bytes: int = bloom.MAX_BYTES) -> Data
 
 
 def keep_first(documents: DataFrame, max_bytes: int = bloom.MAX_BYTES) -> DataFrame:
-    """The rows of ``documents`` that stay, with all their columns; rows of unique texts do not shuffle.
+    """One row of ``documents`` for every normalised text, with all its columns; rows of unique texts do not shuffle.
 
-    Expects distinct doc_ids among equal texts: of rows equal in both, all stay.
+    The smallest doc_id stays, a null one only where all are null; of rows equal
+    in id and text too, one stays.  Rows are decided on one by one, so ids may
+    repeat.  A task sends one row per text on, however often the text occurs.
     """
-    groups = stored(exact_groups(documents, max_bytes), "exact-groups")
-    losers = stored(groups.where("not kept").select(F.col("doc_id").alias("loser")), "losers")
-    return bloom.anti_join(documents, "doc_id", losers, "loser", max_bytes)
+    digest, again, nth = "__text_sha256", "__again", "__nth"
+    codes = stored(documents.select(F.xxhash64(F.sha2(normalised(F.col("text")), 256)).alias("code")), "codes")
+    rest = [F.xxhash64(c) for c, kind in documents.dtypes if "map<" not in kind and "variant" not in kind]
+    tested = documents.withColumn(digest, F.sha2(normalised(F.col("text")), 256)).withColumn(
+        again, bloom.maybe_in(_filter(codes, max_bytes), F.xxhash64(digest)))
+    first = Window.partitionBy(digest).orderBy(F.col("doc_id").cast("long").asc_nulls_last(), *rest)
+    alone = tested.where(~F.col(again))
+    repeated = tested.where(again).withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)
+    return alone.unionByName(repeated).drop(digest, again)

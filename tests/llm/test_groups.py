@@ -350,6 +350,41 @@ def test_pipeline_stages(spark, docs):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in near.collect()}
 
 
+def test_stages_decide_on_rows(spark, docs):
+    """Null and repeated doc_ids: a row that goes takes no other row with it, and one of equal rows stays."""
+    stages = dict(corpus_pipeline.STAGES)
+    known = spark.read.parquet(f"{SF}/documents.parquet")
+    base = [f"and the thing that is with them and was not here {k}" for k in range(12)]
+    long = [" ".join(f"w{k}x{j}" for j in range(60)) for k in range(4)]
+
+    def left(stage, rows):
+        return sorted(map(tuple, stages[stage](spark, docs(rows), SF).select("doc_id", "text").collect()), key=str)
+
+    rows = [(None, base[0]), (None, "12 34"), (None, None), (-5, base[1]), (-5, "56"), (-5, base[2]), (-6, base[1]), (-6, base[1])]
+    broken = docs(rows).withColumn("n_chars", F.lit(0).cast("long"))
+    kept = stages["language"](spark, known.unionByName(broken), SF)
+    assert kept.columns == known.columns
+    got = [tuple(r) for r in kept.where("doc_id is null or doc_id < 0").select("doc_id", "text").collect()]
+    assert sorted(got, key=str) == sorted([rows[k] for k in (0, 3, 5, 6, 7)], key=str)
+
+    rows = [(1, base[0]), (None, base[0]), (None, base[1]), (None, base[2]), (None, base[2]), (7, base[3]), (7, base[3]),
+            (7, base[0]), (7, base[4]), (None, None), (8, None), (8, None), (9, base[5].replace(" ", "  ")), (9, base[5]), (9, base[5].replace(" ", "\t"))]
+    got = left("exact", rows)
+    assert sorted([(d, " ".join((t or "").split())) for d, t in got], key=str) == sorted(
+        [(1, base[0]), (None, base[1]), (None, base[2]), (7, base[3]), (7, base[4]), (8, ""), (9, base[5])], key=str)
+
+    near = [text + " more" for text in long]
+    rows = [(3, long[0]), (None, near[0]), (None, long[1]), (None, near[2]), (None, long[2]), (5, long[3]), (5, near[3]),
+            (5, "quite another text than the others are here"), (2, near[0]), (2, long[1] + " again"), (None, "no link to any other text")]
+    got = left("near", rows)
+    assert len(got) == 6 and {d for d, t in got if t in (near[2], long[2])} == {None}
+    assert {(d, t) for d, t in got if t not in (near[2], long[2], long[3], near[3])} == {
+        (2, near[0]), (2, long[1] + " again"), (5, rows[7][1]), (None, rows[10][1])}
+    assert sum(t in (long[3], near[3]) for d, t in got if d == 5) == 1
+    packed = stages["packing"](spark, docs([(None, "a"), (None, "b"), (1, "c"), (1, "c")]), SF)
+    assert sorted((str(r.doc_id), r.start) for r in packed.collect()) == [("1", 0), ("1", 0), ("None", 0), ("None", 0)]
+
+
 def test_pipeline_runs(spark):
     result = corpus_pipeline.run(spark, SF)
     assert result.count() > 0 and "sequence_id" in result.columns
