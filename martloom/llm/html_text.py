@@ -33,6 +33,8 @@ BLOCK = frozenset(
     "address article blockquote body caption center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup "
     "hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split()) | DROPPED
 PARAGRAPH = frozenset("p pre td blockquote li dd div section h1 h2 h3 h4 h5 h6".split())
+# Kept where they stand between kept siblings, however short.
+BETWEEN = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure".split())
 # An opening tag ends an open element of the second set, looking no further than the third.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -46,15 +48,20 @@ UNWANTED = frozenset(
     "header masthead footer sidebar sidebars aside related recommended share sharing social comment comments "
     "commentlist disqus respond reply replies subscribe subscription newsletter signup login search widget widgets "
     "toolbar pagination pager".split())
+# Parts of names of what can be longer than the article itself.
+REMARKS = frozenset(
+    "comment comments commentlist disqus respond reply replies related recommended cookie cookies consent gdpr".split())
 UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu".split())
 LINKED_MENU = 0.8
+# Letters from which a text is a paragraph without being marked as one.
+PARAGRAPH_LETTERS = 80
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "letters", "linked", "commas", "links")
+    __slots__ = ("tag", "parent", "children", "dropped", "named", "score", "letters", "linked", "commas", "links")
 
     def __init__(self, tag: str, parent: "Node | None", dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, ""
         self.children: list[Node | str] = []
         self.score = 0.0
         self.letters = self.linked = self.commas = self.links = 0
@@ -64,14 +71,21 @@ class Node:
         return self.linked / self.letters if self.letters else 0.0
 
 
-def unwanted(attributes: str) -> bool:
+def unwanted(attributes: str) -> tuple[bool, str]:
+    """(hidden, named): no part of the page to read; else ``"whole"`` or ``"part"`` if a class or id names something else.
+
+    ``"whole"`` if an entire name says so or a part is one of ``REMARKS``; ``"part"`` as in ``with-sidebar``.
+    """
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    if any(w.lower() in UNWANTED for w in WORDS.findall(names)):
-        return True
     style = found.get("style", "").replace(" ", "").lower()
-    return (found.get("role", "").lower() in UNWANTED_ROLES or "display:none" in style
-            or found.get("aria-hidden", "").lower() == "true" or " hidden" in ATTRIBUTE.sub("", attributes).lower())
+    if (found.get("role", "").lower() in UNWANTED_ROLES or "display:none" in style
+            or found.get("aria-hidden", "").lower() == "true" or " hidden" in ATTRIBUTE.sub("", attributes).lower()):
+        return True, ""
+    names = f"{found.get('class', '')} {found.get('id', '')}"
+    words = UNWANTED.intersection(w.lower() for w in WORDS.findall(names))
+    if not words:
+        return False, ""
+    return False, "whole" if words & REMARKS or UNWANTED & set(names.lower().split()) else "part"
 
 
 def parse(page: str) -> Node:
@@ -112,7 +126,10 @@ def parse(page: str) -> Node:
                             if closed is up:
                                 break
                 attributes = match["attributes"]
-                child = Node(name, node, name in DROPPED or ("=" in attributes or "hidden" in attributes) and unwanted(attributes))
+                child = Node(name, node, name in DROPPED)
+                if not child.dropped and ("=" in attributes or "hidden" in attributes):
+                    hidden, child.named = unwanted(attributes)
+                    child.dropped = hidden or child.named != ""
                 node.children.append(child)
                 if name in RAW:
                     end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
@@ -171,10 +188,63 @@ def keep_articles(nodes: list[Node]) -> None:
             node.dropped = False
 
 
+def keep_text(nodes: list[Node]) -> None:
+    """Elements dropped for their name alone come back if they hold most of the page's text outside links.
+
+    So a name does not empty a page or drop its article.  Where an entire name
+    says what the element is, or it may be remarks longer than the article, it
+    comes back only if less than a paragraph is left without it; a part of a
+    name drops an element other than an article if an article is elsewhere.
+    """
+    if not any(n.named and n.dropped for n in nodes):
+        return
+    below: dict[Node, int] = {}  # with what is dropped for its name
+    open_below: dict[Node, int] = {}  # without
+    for node in reversed(nodes):
+        below[node] = open_below[node] = 0
+        if (node.dropped and not node.named) or node.tag == "a":
+            continue
+        for child in node.children:
+            if isinstance(child, str):
+                size = len(" ".join(child.split()))
+                below[node] += size
+                open_below[node] += size
+            else:
+                below[node] += below[child]
+                open_below[node] += 0 if child.dropped else open_below[child]
+    left = open_below[nodes[0]]
+    articles: list[Node] = []
+    gone: set[Node] = set()
+    for node in nodes:
+        if node.parent in gone or node.dropped:
+            gone.add(node)
+        elif node.tag in ("article", "main") and open_below[node] >= PARAGRAPH_LETTERS:
+            articles.append(node)
+    # Two elements cannot both hold more than half, so those that may come back are in each other.
+    for node in nodes:
+        if not (node.named and node.dropped and 2 * below[node] > below[nodes[0]]):
+            continue
+        above, up = [], node.parent
+        while up is not None and not up.dropped:
+            above.append(up)
+            up = up.parent
+        if up is not None:
+            return
+        if node.named == "whole":
+            back = left < PARAGRAPH_LETTERS
+        else:
+            back = node.tag == "article" or all(a in above for a in articles)
+        if not back:
+            return
+        node.dropped = False
+        left += open_below[node]
+
+
 def main_nodes(root: Node) -> list[Node]:
     """The best container and the siblings kept with it, in page order; empty if nothing reads like text."""
     nodes = in_order(root)
     keep_articles(nodes)
+    keep_text(nodes)
     for node in nodes:  # parents come first
         if node.parent is not None and node.parent.dropped:
             node.dropped = True
@@ -212,20 +282,29 @@ def main_nodes(root: Node) -> list[Node]:
     most = max(most, best.score * (1 - best.density))
     if best.parent is None:
         return [best]
+    siblings = [c for c in best.parent.children if not isinstance(c, str) and not c.dropped]
     kept = []
-    for sibling in best.parent.children:
-        if isinstance(sibling, str) or sibling.dropped:
-            continue
+    for sibling in siblings:
         if sibling is best:
             kept.append(sibling)
         elif sibling.tag == "article" or best.tag not in ("article", "main"):
-            paragraph = sibling.tag in ("p", "pre", "blockquote") and sibling.letters >= 80 and sibling.density < 0.25
+            paragraph = sibling.tag in ("p", "pre", "blockquote") and (
+                sibling.letters >= PARAGRAPH_LETTERS and sibling.density < 0.25 or not sibling.linked and ends_sentence(sibling))
             heading = sibling.tag == "h1"
             if paragraph or heading or sibling.score * (1 - sibling.density) >= max(10, most / 5):
                 kept.append(sibling)
+    if best.tag not in ("article", "main"):  # short paragraphs, headings and lists between them belong to the text
+        inside = siblings[siblings.index(kept[0]):siblings.index(kept[-1]) + 1]
+        chosen = set(kept)
+        kept = [c for c in inside if c in chosen or c.tag in BETWEEN and c.letters and c.density < 0.25]
     return kept
 
 
+def ends_sentence(node: Node) -> bool:
+    text = "".join(c if isinstance(c, str) else "".join(blocks_of([c])) for c in node.children).rstrip()
+    return text.endswith((".", "!", "?", "…", "。", "！", "？"))
+
+
 def is_menu(node: Node) -> bool:
     return node.tag in ("ul", "ol", "div", "section", "table", "dl") and node.links >= 3 and node.density > LINKED_MENU
 

@@ -142,6 +142,27 @@ def test_page(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    # Names of wrappers and articles, with no <article> that is left.
+    (f"<div class='page with-sidebar'><div class='content'><p>{PROSE}</p><p>{PROSE}</p></div>"
+     "<div class=sidebar><p>Other</p></div></div>", f"{PROSE} {PROSE}"),
+    (f"<div class='has-header'><div class='no-comments post'><p>{PROSE}</p></div></div>", PROSE),
+    (f"<body><article class='post category-search'><h1>Title</h1><p>{PROSE}</p><p>Short</p></article></body>",
+     f"Title {PROSE} Short"),
+    (f"<main><article id=a class='post tag-advertising'><p>{PROSE}</p></article><p>More</p></main>", PROSE),
+    # What they name stays out where the text is elsewhere, be it longer or not.
+    (f"<div class=content><p>{PROSE}</p></div><div id=comments><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>", PROSE),
+    (f"<article><p>{PROSE}</p></article><div class='left-sidebar'><p>{PROSE}</p><p>{PROSE}</p></div>", PROSE),
+    (f"<div class='x-sidebar' style='display: none'><p>{PROSE}</p></div><p>Text, read.</p>", "Text, read."),
+    # Short paragraphs and headings next to the best container.
+    (f"<body><div class=a><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div><h2>Head</h2><p>Short one</p><h3>Next</h3><p>{PROSE}</p>"
+     f"<p>It ends.</p><p><a href=1>Log on.</a></p><div class=footer><p>{PROSE}</p></div></body>",
+     f"{PROSE} {PROSE} {PROSE} {PROSE} Head Short one Next {PROSE} It ends."),
+])
+def test_page_without_a_plain_article(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_html_rows(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, "<p>some, text</p>"), (3, "u", "<div>" * 5000 + "deep, text")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
