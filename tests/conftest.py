@@ -21,9 +21,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def values(df, *columns):
-    """Rows as a sorted list of tuples."""
-    rows = df.select(*columns).collect() if columns else df.collect()
-    return sorted((tuple(r) for r in rows), key=str)

@@ -1,7 +1,7 @@
 """Whole jobs on the smallest data: repeated runs change nothing, later runs add."""
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from martloom import schemas

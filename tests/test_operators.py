@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 from math import asin, cos, radians, sin, sqrt
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import Window, functions as F
 
 from martloom.functions.geo import haversine_km, local_time

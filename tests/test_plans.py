@@ -4,7 +4,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from martloom.functions.keys import uuid3

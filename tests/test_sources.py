@@ -4,7 +4,7 @@ import json
 import os
 from datetime import datetime
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from martloom import schemas
