@@ -93,7 +93,8 @@ def hash_filters(hashes: DataFrame, column: str, n_bytes: int) -> tuple[np.ndarr
         hashes.select(F.col(column).cast("long")).mapInArrow(fill, schema)
         .repartition("chunk").mapInArrow(merge, schema))
     once, twice = np.zeros(n_bytes, np.uint8), np.zeros(n_bytes, np.uint8)
-    for row in merged.toLocalIterator():
+    # Bounded: at most twice n_bytes.  One job, where a local iterator would run one for every partition.
+    for row in merged.collect():
         at = row["chunk"] * CHUNK_BYTES
         once[at:at + CHUNK_BYTES] = np.frombuffer(row["once"], np.uint8)
         twice[at:at + CHUNK_BYTES] = np.frombuffer(row["twice"], np.uint8)
