@@ -18,7 +18,7 @@ import pyarrow as pa
 from martloom.llm.textbytes import blocks, mix
 
 # Windows that are taken at once; a longer text is cut into pieces that overlap by a window.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _BASE = 0x5851F42D4C957F2D
 _CODES = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)

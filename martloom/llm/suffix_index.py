@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.llm import bloom
-from martloom.llm.repeats import Hashes, anchors, pieces
+from martloom.llm.repeats import PIECE, Hashes, anchors, pieces
 from martloom.llm.textbytes import blocks
 from martloom.session import stored, work_dir
 
@@ -186,7 +186,7 @@ def _code(grams: np.ndarray) -> np.ndarray:
 def _windows(column: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, offset in the row, hash) of every window of ``length`` bytes of the rows."""
     rows, places, hashes = [], [], []
-    for first, _, data, offsets in blocks(column):
+    for first, _, data, offsets in blocks(column, PIECE):
         at = np.arange(len(data) - length + 1)
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(at)]
         at = at[offsets[1:][row] - at >= length]
