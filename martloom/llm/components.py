@@ -43,8 +43,7 @@ def components(links: DataFrame, a: str, b: str, name: str = "components") -> Da
     pairs = stored(pairs, name)
     while not _is_forest_of_stars(pairs):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        pairs = stored(_pulled(both, keep_smaller=False), name)
-        pairs = stored(_pulled(pairs, keep_smaller=True), name)
+        pairs = stored(_pulled(_pulled(both, keep_smaller=False), keep_smaller=True), name)
     members = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return members.unionByName(roots)
