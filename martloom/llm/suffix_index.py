@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.llm import bloom
 from martloom.llm.repeats import PIECE, Hashes, anchors, pieces
-from martloom.llm.textbytes import blocks
+from martloom.llm.textbytes import blocks, giving_back
 from martloom.session import stored, work_dir
 
 # Bytes of a string that may occur only once.
@@ -69,7 +69,7 @@ def _suffix_rows(length: int, gram: int):
 def suffixes(documents: DataFrame, batch, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(batch, gram, segment, n): the sampled suffixes of every text, counted per block of texts."""
     return documents.select(batch.cast("int").alias("batch"), F.col("text").cast("binary")).mapInArrow(
-        _suffix_rows(length, gram), f"batch int, {SUFFIXES}")
+        giving_back(_suffix_rows(length, gram)), f"batch int, {SUFFIXES}")
 
 
 class SuffixIndex:
@@ -313,7 +313,7 @@ def remove_repeats(
     shared_bits, _ = bloom.hash_filters(shared, "gram", bloom.filter_bytes(shared.count()))
     key = F.expr("substring(unhex(sha2(text, 256)), 1, 16)").alias("key")
     marks = stored(
-        texts.select(key, "text").mapInArrow(_mark_rows(length, gram, met_bits, shared_bits), MARKS)
+        texts.select(key, "text").mapInArrow(giving_back(_mark_rows(length, gram, met_bits, shared_bits)), MARKS)
         .join(whole.withColumn("whole", F.lit(True)), ["gram", "segment"], "left")
         .withColumn("whole", F.coalesce("whole", F.lit(False))), "marks")
 
@@ -322,7 +322,7 @@ def remove_repeats(
     alike = marks.where("bytes is not null").join(shared, "gram").dropDuplicates(["gram", "segment"])
     covered = covered.unionByName(
         alike.where(F.col("segments") <= group).select("key", "low", "gram", "bytes", "whole")
-        .repartition("gram").sortWithinPartitions("gram").mapInArrow(_group_matches(length), COVERED))
+        .repartition("gram").sortWithinPartitions("gram").mapInArrow(giving_back(_group_matches(length)), COVERED))
     if not shared.where(F.col("segments") > group).isEmpty():
         windows = stored(
             alike.where(F.col("segments") > group).select("key", "low", "gram", "bytes", "whole")
@@ -342,4 +342,4 @@ def remove_repeats(
     rows = tested.where("not maybe").select("doc_id", "text", none).unionByName(
         tested.where("maybe").join(stretches, "key", "left").select("doc_id", "text", "stretches"))
     return rows.mapInArrow(
-        _kept_rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
+        giving_back(_kept_rows), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
