@@ -422,6 +422,8 @@ def _settlement() -> dict[str, str]:
                              " - cast(bonus as decimal(24,2)) as double) as restaurant_reward_sum"
                              " from report join customer on o_custkey = c_custkey",
     }
+    # However the documents come in, the history is that of the whole log.
+    q["product_history_increments"] = q["dim_products_scd2"]
     return {name: SETTLEMENT + sql for name, sql in q.items()}
 
 

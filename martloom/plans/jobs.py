@@ -7,21 +7,35 @@ Locations are folders; every mart has its own below ``out``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom import schemas
 from martloom.operators import state as load_state
 from martloom.plans import couriers, geo_marts, messenger, metrics, order_vault, settlement
 from martloom.session import stored, work_folders_removed
-from martloom.sources import documents, events, files, relational, tables
+from martloom.sources import buckets, documents, events, files, relational, tables
 from martloom.streaming import campaigns, flow
 
 
+# Tables of a job that are written at the same time.
+WRITERS = 6
+
+
 def _existing(spark: SparkSession, location: str, like: DataFrame) -> DataFrame:
     found = tables.latest(spark, location)
     return tables.empty_like(like) if found is None else found
 
 
+def _side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
+    """Write independent tables at the same time: small writes leave executors idle.  The first error is raised."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(write, name) for name in names]:
+            done.result()
+
+
 def _state(spark: SparkSession, out: str) -> DataFrame:
     found = tables.latest(spark, f"{out}/load_state")
     return load_state.empty(spark) if found is None else found
@@ -29,28 +43,82 @@ def _state(spark: SparkSession, out: str) -> DataFrame:
 
 # --- settlement and couriers ------------------------------------------------------------
 
+DOCUMENT = "object_id string, object_value string, update_ts timestamp_ntz"
+
+
 def load_documents(spark: SparkSession, landing: str, out: str, collection: str, run_id: int, start=None) -> DataFrame:
     """Landed documents of a collection -> ``out/<collection>``, last version wins.
 
-    The first run takes all documents, or those updated after ``start``.
+    The first run takes all documents, or those updated after ``start``.  Only the buckets of the new documents are
+    rewritten.  ``out/<collection>_log`` keeps every version, a folder per run (``loaded_run``).
     """
-    source = spark.read.schema("object_id string, object_value string, update_ts timestamp_ntz").json(landing)
-    merged, state = documents.documents_increment(
-        source, _existing(spark, f"{out}/{collection}", source), _state(spark, out), collection, run_id, start)
-    state = stored(state, "load_state")
-    tables.publish(merged, f"{out}/{collection}")
-    tables.publish(state, f"{out}/load_state")
-    return tables.latest(spark, f"{out}/{collection}")
+    source = spark.read.schema(DOCUMENT).json(landing)
+    old_state = _state(spark, out)
+    batch, moved = documents.document_batch(source, old_state, collection, run_id, start)
+    tables.append_batch(batch, f"{out}/{collection}_log", run_id)
+    batch = loaded_run(spark, out, collection, run_id)
+    table = _collection(spark, out, collection)
+    buckets.upsert(table, batch, lambda old, new: documents.latest_versions(old, new))
+    tables.publish(stored(load_state.advance(old_state, moved(batch)), "load_state"), f"{out}/load_state")
+    return table.read()
+
+
+def loaded_run(spark: SparkSession, out: str, collection: str, run_id: int) -> DataFrame:
+    """All document versions that a run has loaded."""
+    return spark.read.schema(DOCUMENT).parquet(f"{out}/{collection}_log/batch_id={run_id}")
+
+
+def _collection(spark: SparkSession, out: str, collection: str) -> buckets.BucketTable:
+    return buckets.BucketTable(spark, f"{out}/{collection}", ["object_id"], DOCUMENT)
+
+
+def product_tables(spark: SparkSession, out: str, like: DataFrame) -> tuple[buckets.BucketTable, buckets.BucketTable]:
+    """(all stated menu items, their versions), both in buckets of the product."""
+    versions = settlement.product_versions(like.limit(0))
+    return (buckets.BucketTable(spark, f"{out}/dm_products_stated", settlement.PRODUCT, like.schema),
+            buckets.BucketTable(spark, f"{out}/dm_products", settlement.PRODUCT, versions.schema))
+
+
+def update_products(restaurants: DataFrame, out: str) -> DataFrame:
+    """Bring the stored product history up to date with new restaurant documents, in any order of time.
+
+    What a menu stated at a moment is kept, since a late document may come between two equal ones.  Only the
+    products of the new documents get new intervals; other products of their buckets are copied, other buckets not
+    touched.  Documents may be repeated.  Returns the whole dimension.
+    """
+    spark = restaurants.sparkSession
+    items = stored(settlement.menu_items(restaurants).distinct(), "menu_items")
+    stated, versions = product_tables(spark, out, items)
+    touched = stated.touched(items)
+    if touched:
+        both = stored(stated.read(touched).unionByName(items).distinct(), "stated_items")
+        stated.replace(both, touched)
+        products = items.select(*settlement.PRODUCT).distinct()
+        fresh = settlement.product_versions(both.join(products, settlement.PRODUCT, "left_semi"))
+        others = versions.read(touched).join(products, settlement.PRODUCT, "left_anti")
+        versions.replace(others.unionByName(fresh), touched)
+    return versions.read()
+
+
+def update_restaurants(restaurants: DataFrame, out: str) -> DataFrame:
+    """Bring the stored restaurant dimension up to date: the first start and the last name of each."""
+    fresh = settlement.dim_restaurants(restaurants)
+    schema = fresh.withColumn("updated", F.col("active_from")).schema
+    table = buckets.BucketTable(restaurants.sparkSession, f"{out}/dm_restaurants", ["restaurant_id"], schema)
+    buckets.upsert(table, fresh, lambda old, new: settlement.merged_restaurants(old, new, restaurants))
+    return table.read().drop("updated")
 
 
 def settlement_job(users: DataFrame, restaurants: DataFrame, orders: DataFrame, outbox: DataFrame, out: str, as_of) -> None:
-    """Staged documents and bonus events -> dimensions, fact and settlement report."""
+    """Staged documents and bonus events -> dimensions, fact and settlement report.
+
+    ``restaurants`` may be the whole log of documents or only what is new: products and restaurants are kept as
+    tables that each run extends.
+    """
     settled = stored(settlement.settled_orders(orders), "settled_orders")
     spark = settled.sparkSession
     made = {
         "dm_users": settlement.dim_users(users),
-        "dm_restaurants": settlement.dim_restaurants(restaurants),
-        "dm_products": settlement.dim_products(restaurants),
         "dm_timestamps": settlement.dim_timestamps(settled),
         "dm_orders": settlement.dim_orders(settled),
     }
@@ -58,10 +126,10 @@ def settlement_job(users: DataFrame, restaurants: DataFrame, orders: DataFrame,
         tables.overwrite(df, f"{out}/{name}")
     read = lambda name: spark.read.parquet(f"{out}/{name}")
     tables.overwrite(
-        settlement.fact_product_sales(settled, outbox, read("dm_products")), f"{out}/fct_product_sales")
+        settlement.fact_product_sales(settled, outbox, update_products(restaurants, out)), f"{out}/fct_product_sales")
     tables.overwrite(
         settlement.settlement_report(
-            read("fct_product_sales"), read("dm_orders"), read("dm_timestamps"), read("dm_restaurants"), as_of),
+            read("fct_product_sales"), read("dm_orders"), read("dm_timestamps"), update_restaurants(restaurants, out), as_of),
         f"{out}/dm_settlement_report")
 
 
@@ -103,11 +171,14 @@ def messenger_job(stage: dict[str, DataFrame], out: str, load_dt, batch_id: int)
     vault = messenger.messenger_vault(
         stage["users"], stage["groups"], stage["dialogs"], stage["group_log"], load_dt)
     spark = stage["users"].sparkSession
-    for name, df in vault.items():
+    def write(name: str) -> None:
+        df = vault[name]
         if name.startswith("sat_"):
             tables.overwrite(df, f"{out}/{name}")
         else:
-            tables.append_new(df, f"{out}/{name}", [df.columns[0]], batch_id)
+            buckets.append_new(df, f"{out}/{name}", [df.columns[0]], batch_id)
+
+    _side_by_side(write, vault)
     kept = {name: spark.read.parquet(f"{out}/{name}") for name in vault}
     tables.overwrite(messenger.group_conversion(kept), f"{out}/group_conversion")
 
@@ -139,16 +210,24 @@ def order_job(messages: DataFrame, users: DataFrame, restaurants: DataFrame, out
         tables.append_batch(order_vault.order_rejects(messages), f"{out}/orders_rej", batch_id)
         raw = order_vault.parse_order_events(messages)
         lines = stored(order_vault.order_lines(order_vault.enrich_orders(raw, users, restaurants)), "order_lines")
-        for name, df in order_vault.order_vault(lines, load_dt).items():
-            tables.append_new(df, f"{out}/{name}", [order_vault.primary_key(name)], batch_id)
-        for by in ("product", "category"):
+        vault = order_vault.order_vault(lines, load_dt)
+
+        def count(by: str) -> None:
             triples, keys = order_vault.counted_triples(lines, by)
-            tables.append_new(triples, f"{out}/{by}_orders", keys, batch_id)
+            buckets.append_new(triples, f"{out}/{by}_orders", keys, batch_id)
             new = spark.read.schema(triples.schema).parquet(f"{out}/{by}_orders/batch_id={batch_id}")
             tables.append_batch(order_vault.counter_deltas(new, by), f"{out}/{by}_deltas", batch_id)
             tables.overwrite(
                 order_vault.summed_counters(spark.read.parquet(f"{out}/{by}_deltas"), by), f"{out}/user_{by}_counters")
 
+        def write(name: str) -> None:
+            if name in vault:
+                buckets.append_new(vault[name], f"{out}/{name}", [order_vault.primary_key(name)], batch_id)
+            else:
+                count(name)
+
+        _side_by_side(write, ["product", "category", *vault])
+
 
 # --- incremental loads ----------------------------------------------------------------------------
 

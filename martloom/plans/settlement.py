@@ -45,20 +45,43 @@ def dim_restaurants(documents: DataFrame) -> DataFrame:
     )
 
 
-def dim_products(documents: DataFrame) -> DataFrame:
-    """Menu items of all restaurant documents as non-overlapping price versions, each with a key of its own."""
+PRODUCT = ["restaurant_id", "product_id"]
+
+
+def menu_items(documents: DataFrame) -> DataFrame:
+    """The menu items that restaurant documents state, each with the document's time."""
     items = with_document(documents, "object_value", schemas.RESTAURANT_DOC).select(
         F.col("object_id").alias("restaurant_id"), "update_ts", F.explode("doc.menu").alias("item"))
-    rows = items.select(
+    return items.select(
         "restaurant_id",
         document_id("item._id").alias("product_id"),
         F.col("item.name").alias("product_name"),
         F.col("item.price").alias("product_price"),
         "update_ts",
     )
-    return versioned(
-        rows, ["restaurant_id", "product_id"], ["product_name", "product_price"], "update_ts"
-    ).withColumn("id", uuid3("product_id", F.lit("|"), "active_from"))
+
+
+def product_versions(items: DataFrame) -> DataFrame:
+    """Menu items as non-overlapping price versions, each with a key of its own."""
+    return versioned(items, PRODUCT, ["product_name", "product_price"], "update_ts").withColumn(
+        "id", uuid3("product_id", F.lit("|"), "active_from"))
+
+
+def dim_products(documents: DataFrame) -> DataFrame:
+    """Product versions of a whole log of restaurant documents."""
+    return product_versions(menu_items(documents))
+
+
+def merged_restaurants(old: DataFrame, new: DataFrame, documents: DataFrame) -> DataFrame:
+    """Stored and new rows of ``dim_restaurants`` as one row each: the first start, the name of the later document.
+
+    ``updated`` tells which name is later; of equal moments the greater name stays.
+    """
+    last = documents.groupBy(F.col("object_id").alias("restaurant_id")).agg(F.max("update_ts").alias("updated"))
+    both = old.unionByName(new.join(last, "restaurant_id").select(old.columns))
+    return both.groupBy("id", "restaurant_id").agg(
+        F.max_by("restaurant_name", F.struct("updated", "restaurant_name")).alias("restaurant_name"),
+        F.min("active_from").alias("active_from"), F.max("active_to").alias("active_to"), F.max("updated").alias("updated"))
 
 
 def settled_orders(documents: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from martloom.operators.writes import (
     additive_upsert, insert_if_absent, merge_insert_only, upsert_last_wins)
 from martloom.plans import couriers, geo_marts, jobs, messenger, metrics, order_vault, settlement
 from martloom.session import stored, work_dir
-from martloom.sources import documents, events, files, relational, tables
+from martloom.sources import buckets, documents, events, files, relational, tables
 from martloom.streaming import campaigns, flow, orders
 
 SPLIT_DATE = "1998-01-01"
@@ -183,6 +183,17 @@ def fact_product_sales(i: Inputs) -> DataFrame:
     return settlement.fact_product_sales(settlement.settled_orders(i.order_documents), i.outbox)
 
 
+@_query
+def product_history_increments(i: Inputs) -> DataFrame:
+    """The product history by three loads of mixed age into stored tables; many documents come late."""
+    log = i.restaurant_documents
+    out = work_dir(log.sparkSession, "history")
+    part = F.pmod(F.xxhash64("object_id", "update_ts"), F.lit(3))
+    for load in range(3):
+        history = jobs.update_products(log.where(part == load), out)
+    return history
+
+
 @_query
 def fact_product_versions(i: Inputs) -> DataFrame:
     """Fact lines with the product version valid at the order's time; orders are moved to the menus' years."""
@@ -225,7 +236,7 @@ def vault_rerun_no_double(i: Inputs) -> DataFrame:
     early = i.users.where(F.col("registration_dt") < F.lit("2021-06-01").cast("timestamp_ntz"))
     for batch, users in enumerate((early, i.users, i.users)):
         vault = messenger.messenger_vault(users, i.groups, i.dialogs, i.group_log, LOAD_DT)
-        tables.append_new(vault["hub_users"], where, ["hk_user_id"], batch)
+        buckets.append_new(vault["hub_users"], where, ["hk_user_id"], batch)
     return i.spark.read.parquet(where).drop("batch_id")
 
 

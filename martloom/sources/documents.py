@@ -15,19 +15,27 @@ def read_landed(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.text(location).withColumnRenamed("value", "content")
 
 
-def documents_increment(
-    source: DataFrame, loaded: DataFrame, state: DataFrame, collection: str, run_id: int, start=None,
-) -> tuple[DataFrame, DataFrame]:
-    """Documents updated after the stored time, merged by id; later versions win.
+def document_batch(source: DataFrame, state: DataFrame, collection: str, run_id: int, start=None):
+    """Documents updated after the stored time, and what makes the state row of a loaded batch.
 
-    The first run loads everything, or what was updated after ``start`` if the
-    caller gives one.  Returns (new target, new state).
+    The first run takes everything, or what was updated after ``start`` if the caller gives one.
     """
     last = load_state.read(state, "stg", "documents", collection) or start
     batch = source if last is None else source.where(F.col("update_ts") > F.lit(last).cast("timestamp_ntz"))
-    moved = load_state.progress(batch, "stg", "documents", collection, F.col("update_ts"), run_id)
-    merged = upsert_last_wins(loaded, batch, ["object_id"], ["update_ts", "object_value"])
-    return merged, load_state.advance(state, moved)
+    return batch, lambda loaded: load_state.progress(loaded, "stg", "documents", collection, F.col("update_ts"), run_id)
+
+
+def latest_versions(old: DataFrame, new: DataFrame) -> DataFrame:
+    """One row per document, the one updated last."""
+    return upsert_last_wins(old, new, ["object_id"], ["update_ts", "object_value"])
+
+
+def documents_increment(
+    source: DataFrame, loaded: DataFrame, state: DataFrame, collection: str, run_id: int, start=None,
+) -> tuple[DataFrame, DataFrame]:
+    """A load as one step on whole tables: (new target, new state); later versions win."""
+    batch, moved = document_batch(source, state, collection, run_id, start)
+    return latest_versions(loaded, batch), load_state.advance(state, moved(batch))
 
 
 LANDED = "content_key string, content string, load_ts timestamp_ntz"

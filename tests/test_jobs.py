@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.bindings import AS_OF, CAMPAIGN_NOW, LOAD_DT, Inputs
-from martloom.plans import geo_marts, jobs, messenger, order_vault
+from martloom.plans import geo_marts, jobs, messenger, order_vault, settlement
 from martloom.sources import events, tables
 from martloom.streaming import flow
 
@@ -26,7 +26,8 @@ def test_settlement_job(spark, inputs, tmp_path):
         jobs.settlement_job(
             inputs.user_documents, inputs.restaurant_documents, staged, inputs.outbox, f"{out}/dds", AS_OF)
     assert staged.count() == inputs.order_documents.count()
-    fact, products = (spark.read.parquet(f"{out}/dds/{name}") for name in ("fct_product_sales", "dm_products"))
+    fact = spark.read.parquet(f"{out}/dds/fct_product_sales")
+    products = jobs.product_tables(spark, f"{out}/dds", settlement.menu_items(inputs.restaurant_documents))[1].read()
     assert products.select("id").distinct().count() == products.count()
     assert fact.join(products.select(F.col("id").alias("product_id")), "product_id").count() == fact.count()
     report = spark.read.parquet(f"{out}/dds/dm_settlement_report")

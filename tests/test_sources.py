@@ -11,7 +11,7 @@ from martloom import schemas
 from martloom.operators import state as load_state
 from martloom.plans import order_vault
 from martloom.session import stored, work_dir
-from martloom.sources import documents, events, files, relational, tables
+from martloom.sources import buckets, documents, events, files, relational, tables
 from martloom.streaming import campaigns, flow, orders
 
 from test_plans import order_text
@@ -36,9 +36,9 @@ def test_publish_skips_incomplete_versions(spark, tmp_path):
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     where = str(tmp_path / "t")
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
-    tables.append_new(df, where, ["k"], 0)
-    tables.append_new(df.union(spark.createDataFrame([("c", 4)], "k string, v int")), where, ["k"], 1)
-    tables.append_new(df.union(spark.createDataFrame([("c", 4)], "k string, v int")), where, ["k"], 1)
+    buckets.append_new(df, where, ["k"], 0)
+    buckets.append_new(df.union(spark.createDataFrame([("c", 4)], "k string, v int")), where, ["k"], 1)
+    buckets.append_new(df.union(spark.createDataFrame([("c", 4)], "k string, v int")), where, ["k"], 1)
     assert values(spark.read.parquet(where), "k") == [("a",), ("b",), ("c",)]
 
 
