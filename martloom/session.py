@@ -57,12 +57,14 @@ _made: list[str] = []
 
 @contextmanager
 def work_folders_removed(spark: SparkSession) -> Iterator[None]:
-    """Remove the folders of ``work_dir`` and ``stored`` made inside, when a job has published its results."""
+    """Remove the folders of ``work_dir`` and ``stored`` made inside, when a job has published its results or failed."""
     before = len(_made)
-    yield
-    while len(_made) > before:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    try:
+        yield
+    finally:
+        while len(_made) > before:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -152,3 +152,16 @@ def test_loading_documents_rewrites_touched_buckets(spark, tmp_path):
     assert loaded.count() == 200 and values(loaded.where("object_id = 'd7'"), "object_value") == [("{\"v\": 2}",)]
     assert sum(by_bucket(table)[b] != before[b] for b in before) == 1
     assert jobs.loaded_run(spark, out, "docs", 2).count() == 2
+
+
+def test_work_folders_go_after_an_error_too(spark):
+    from martloom.session import work_folders_removed
+    held = []
+    try:
+        with work_folders_removed(spark):
+            held.append(stored(spark.range(3), "left").inputFiles()[0])
+            raise RuntimeError
+    except RuntimeError:
+        pass
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(held[0])
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
