@@ -5,19 +5,21 @@ import uuid
 from datetime import datetime, timedelta
 from math import asin, cos, radians, sin, sqrt
 
+import numpy as np
+import pandas as pd
 import pytest
 from helpers import values
 from pyspark.sql import Window, functions as F
 
-from martloom.functions.geo import haversine_km, local_time
+from martloom.functions.geo import haversine_km, local_time, position_km
 from martloom.functions.keys import known_uuid3, uuid3
 from martloom.functions.text import address_parts
 from martloom.operators import state as load_state
 from martloom.operators.joins import orphans, salted_join, with_placeholders
-from martloom.operators.nearest import nearest_zone
+from martloom.operators.nearest import nearest_zone, nearest_zones
 from martloom.operators.ordered import (
     changes, hourly, with_last_known, with_neighbour, with_position)
-from martloom.operators.pairs import channel_pairs, never_contacted
+from martloom.operators.pairs import LEAF, _crowded_pairs, channel_pairs, never_contacted
 from martloom.operators.writes import (
     additive_upsert, first_per_key, insert_if_absent, new_rows, upsert_last_wins, versioned)
 
@@ -127,6 +129,75 @@ def test_nearest_zone_tie_and_zero(spark):
 
 # --- pairs ------------------------------------------------------------------------------------
 
+def test_nearest_zones_of_a_long_list(spark):
+    """Three nearest of 50,000 zones, half of them crowded at one city, equal brute force."""
+    pick = np.random.default_rng(3)
+    lat = np.r_[pick.uniform(-85, 85, 25_000), 55.7 + pick.normal(0, 0.1, 25_000)]
+    lng = np.r_[pick.uniform(-180, 180, 25_000), 37.6 + pick.normal(0, 0.1, 25_000)]
+    zones = spark.createDataFrame(pd.DataFrame({"zone_id": range(50_000), "lat": lat, "lng": lng}))
+    at = [(55.7, 37.6), (55.7, 37.6), (56.9, 37.6), (-89.0, 10.0), (10.0, 179.99), (40.0, -100.0)]
+    points = spark.createDataFrame(
+        [(i, *p) for i, p in enumerate(at)] + [(99, None, None)], "id int, lat double, lng double")
+    got = {}
+    for r in nearest_zones(points, zones, 3).collect():
+        got.setdefault(r.id, {})[r["rank"]] = r.zone_id
+    for i, (plat, plng) in enumerate(at):
+        p1, p2 = np.radians(plat), np.radians(lat)
+        half = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lng - plng) / 2) ** 2
+        assert [got[i][k] for k in (1, 2, 3)] == list(np.argsort(half, kind="stable")[:3])
+    assert set(got) == set(range(len(at)))
+
+
+def test_nearest_zones_fewer_than_asked(spark):
+    zones = spark.createDataFrame([(2, 0.0, 0.0), (1, 0.0, 0.0), (3, None, 0.0)], "zone_id int, lat double, lng double")
+    points = spark.createDataFrame([(1, 0.0, 1.0)], "id int, lat double, lng double")
+    assert [(r["rank"], r.zone_id) for r in nearest_zones(points, zones, 3).orderBy("rank").collect()] == [(1, 1), (2, 2)]
+    assert nearest_zones(points, zones.limit(0), 3).count() == 0
+
+
+# --- pairs ------------------------------------------------------------------------------------
+
+def flat_pairs(lat, lng, within_km):
+    """Index pairs within a distance, with each point against the rest."""
+    found = set()
+    for i in range(len(lat)):
+        p1, p2 = np.radians(lat[i]), np.radians(lat[i + 1:])
+        half = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lng[i + 1:] - lng[i]) / 2) ** 2
+        found |= {(i, i + 1 + int(j)) for j in np.flatnonzero(2 * 6371 * np.arcsin(np.sqrt(half)) <= within_km)}
+    return found
+
+
+@pytest.mark.parametrize("leaf", [8, 64])
+def test_crowded_cubes_equal_brute_force(spark, leaf):
+    pick = np.random.default_rng(leaf)
+    lat, lng = 50 + pick.normal(0, 0.02, 700), 30 + pick.normal(0, 0.02, 700)
+    lat[:100], lng[:100] = 50.001, 30.001
+    positions = spark.createDataFrame(pd.DataFrame({"user_id": range(700), "lat": lat, "lng": lng}))
+    members = positions.select(F.lit("c").alias("channel"), "user_id")
+    got = {(r.user_1, r.user_2) for r in channel_pairs(members, positions, 1.0, leaf).collect()}
+    assert got == flat_pairs(lat, lng, 1.0)
+
+
+def test_twenty_thousand_members_in_one_cube(spark):
+    """The pairs of a dense cube come from many keys, and none of them holds more than a block meets."""
+    pick = np.random.default_rng(1)
+    side = np.degrees(1.8 / 6371)
+    lat, lng = pick.uniform(0, side, 20_000), pick.uniform(0, side, 20_000)
+    positions = spark.createDataFrame(pd.DataFrame({"user_id": range(20_000), "lat": lat, "lng": lng}))
+    placed = positions.withColumns(position_km("lat", "lng")).select(F.lit("c").alias("channel"), "*")
+    edge, reach = 2.0, 0.02
+    cell = {f"c{a}": F.lit(0) for a in "xyz"}
+    names = {"user_id": "user", "lat": "lat", "lng": "lng", "x": "x", "y": "y", "z": "z"}
+    left, right = (placed.withColumnsRenamed({k: f"{v}_{n}" for k, v in names.items()}).withColumns(cell) for n in "12")
+    near = _crowded_pairs(left, right, edge, reach, 256)
+    sizes = near.groupBy(*LEAF, "block_1", "block_2").count()
+    largest, tasks = sizes.agg(F.max("count"), F.count("*")).first()
+    assert largest <= 4 * 256 ** 2 and tasks > 64
+    found = near.where("user_1 < user_2").where(
+        "pow(x_1 - x_2, 2) + pow(y_1 - y_2, 2) + pow(z_1 - z_2, 2) <= 0.0004")
+    assert {tuple(r) for r in found.select("user_1", "user_2").collect()} == flat_pairs(lat, lng, 0.02)
+
+
 def test_channel_pairs_equal_brute_force(spark):
     rng = random.Random(5)
     users = {n: (-33 + rng.random() * 0.05, 151 + rng.random() * 0.05) for n in range(80)}
