@@ -34,6 +34,7 @@ def _sliced(
     at_edge: Column,
     carried: Callable,
     backwards: bool = False,
+    of_keys: Callable | None = None,
 ) -> DataFrame:
     """Add ``__inside`` (value within the slice) and ``__carry`` (from the slices before).
 
@@ -51,14 +52,15 @@ def _sliced(
     edges = (
         rows.where(F.col(_EDGE))
         .select(*keys, _SLICE, at_edge.alias(_CARRY))
+        .transform(of_keys or (lambda kept: kept))
         .withColumn(_CARRY, carried(F.col(_CARRY), across))
     )
-    return rows.join(edges, [*keys, _SLICE], "left").drop(_SLICE, _EDGE)
+    return rows.join(edges, [*keys, _SLICE], "inner" if of_keys else "left").drop(_SLICE, _EDGE)
 
 
 def with_neighbour(
     df: DataFrame, keys: list[str], order: list, columns: dict[str, str], slice_by: Column,
-    following: bool = False,
+    following: bool = False, of_keys: Callable | None = None,
 ) -> DataFrame:
     """Values of the row before (or after) each row of the same key.
 
@@ -73,6 +75,7 @@ def with_neighbour(
         at_edge=packed,
         carried=lambda value, w: F.lag(value).over(w),
         backwards=following,
+        of_keys=of_keys,
     )
     near = F.coalesce(F.col(_INSIDE), F.col(_CARRY))
     return out.withColumns({new: near[old] for old, new in columns.items()}).drop(_INSIDE, _CARRY)
@@ -108,8 +111,8 @@ def with_position(
 
 
 def changes(
-    df: DataFrame, keys: list[str], order: list, column: str, slice_by: Column
+    df: DataFrame, keys: list[str], order: list, column: str, slice_by: Column, of_keys: Callable | None = None,
 ) -> DataFrame:
-    """Rows whose ``column`` differs from the row before, and the first row of each key."""
-    out = with_neighbour(df, keys, order, {column: "__before"}, slice_by)
+    """Rows whose ``column`` differs from the row before, and the first row of each key; ``of_keys`` as in ``_sliced``."""
+    out = with_neighbour(df, keys, order, {column: "__before"}, slice_by, of_keys=of_keys)
     return out.where((F.col(column) != F.col("__before")) | F.col("__before").isNull()).drop("__before")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ from martloom.operators import state as load_state
 from martloom.plans import couriers, geo_marts, messenger, metrics, order_vault, settlement
 from martloom.session import stored, work_folders_removed
 from martloom.sources import buckets, documents, events, files, relational, tables
+from martloom.sources.buckets import BucketTable
 from martloom.streaming import campaigns, flow
 
 
@@ -306,20 +308,41 @@ def metrics_job(
 ) -> None:
     """Transactions loaded since the last run -> ``out/global_metrics``.
 
-    ``upsert`` aggregates the days those transactions belong to again, from all
-    their transactions, and replaces them.
+    ``upsert`` replaces the days those transactions belong to by whole ones, without reading earlier transactions:
+    partial sums with bitmaps of accounts are kept per (day, currency) in ``out/global_metrics_state`` and merged.
+    A part is named by the position it starts from, so a run that died half-way replaces its part when it is repeated.
     """
     spark = transactions.sparkSession
     state = _state(spark, out)
-    since = load_state.read(state, "dwh", "stg", "global_metrics")
-    if mode == "upsert":
-        fresh = metrics.daily_metrics(metrics.touched_days(transactions, since), currencies, load_dt, base_currency)
-    else:
-        fresh = metrics.daily_metrics(transactions, currencies, load_dt, base_currency, loaded_after=since)
+    with work_folders_removed(spark):
+        if mode == "upsert":
+            fresh, moved = _metrics_from_state(spark, transactions, currencies, out, load_dt, run_id, state, base_currency)
+        else:
+            since = load_state.read(state, "dwh", "stg", "global_metrics")
+            fresh = metrics.daily_metrics(transactions, currencies, load_dt, base_currency, loaded_after=since)
+            increment = transactions if since is None else transactions.where(
+                F.col("load_dt") > F.lit(since).cast("date").cast("timestamp_ntz"))
+            moved = load_state.progress(increment, "dwh", "stg", "global_metrics", F.to_date("load_dt"), run_id)
+        state = stored(load_state.advance(state, moved), "load_state")
+        existing = _existing(spark, f"{out}/global_metrics", fresh)
+        tables.publish(metrics.merge_metrics(existing, fresh, mode), f"{out}/global_metrics")
+        tables.publish(state, f"{out}/load_state")
+
+
+def _metrics_from_state(
+    spark: SparkSession, transactions: DataFrame, currencies: DataFrame, out: str, load_dt, run_id: int,
+    state: DataFrame, base_currency: int,
+) -> tuple[DataFrame, DataFrame]:
+    """(whole days that the new transactions touch, load-state row)."""
+    name = ("dwh", "stg", "global_metrics_state")
+    since = load_state.read(state, *name)
     increment = transactions if since is None else transactions.where(
-        F.col("load_dt") > F.lit(since).cast("date").cast("timestamp_ntz"))
-    moved = load_state.progress(increment, "dwh", "stg", "global_metrics", F.to_date("load_dt"), run_id)
-    state = stored(load_state.advance(state, moved), "load_state")
-    existing = _existing(spark, f"{out}/global_metrics", fresh)
-    tables.publish(metrics.merge_metrics(existing, fresh, mode), f"{out}/global_metrics")
-    tables.publish(state, f"{out}/load_state")
+        F.col("load_dt") > F.lit(since).cast("timestamp_ntz"))
+    start = 0 if since is None else int(datetime.fromisoformat(since).replace(tzinfo=timezone.utc).timestamp() * 1e6)
+    parts = stored(metrics.day_state(increment), "metric_parts")
+    kept = BucketTable(spark, f"{out}/global_metrics_state", metrics.KEYS, metrics.STATE)
+    kept.append(parts, start)
+    days = parts.select(*metrics.KEYS).distinct()
+    whole = kept.read(kept.touched(days)).join(days, metrics.KEYS, "left_semi")
+    fresh = metrics.in_base_currency(metrics.merged_days(whole), currencies, load_dt, base_currency)
+    return fresh, load_state.progress(increment, *name, F.col("load_dt"), run_id)

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martloom.functions.keys import known_uuid3
 from martloom.operators.ordered import changes, hourly
-from martloom.operators.vault import hub, lineage, link, satellite
+from martloom.operators.vault import having_parents, hub, lineage, link, satellite
 from martloom.session import stored
 
 
-def event_changes(group_log: DataFrame) -> DataFrame:
+def event_changes(group_log: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Group log without repeated events; a user who 'invited' themselves has no inviter.
 
-    Events at one moment are ordered by event name.
+    Events at one moment are ordered by event name.  ``parents`` maps key columns to
+    tables of the known ones; they are looked up once per (user, group, hour).
     """
-    kept = changes(
-        group_log, ["user_id", "group_id"], ["event_dt", "event"], "event", hourly(F.col("event_dt")))
+    hour = F.coalesce(hourly(F.col("event_dt")), F.lit("0001-01-01").cast("timestamp"))
+    known = (lambda keys: having_parents(keys, parents)) if parents else None
+    kept = changes(group_log, ["user_id", "group_id"], ["event_dt", "event"], "event", hour, known)
     return kept.withColumn("user_id_from", F.nullif("user_id_from", "user_id"))
 
 
@@ -41,8 +44,11 @@ def messenger_vault(
     t["hub_groups"] = hub(groups, "hk_group_id", "group_id", ["registration_dt"], load)
     if store_parents:
         t.update({name: stored(t[name], name) for name in ("hub_users", "hub_groups")})
-    # A parent that comes from the same staging table exists by construction.
-    known_user, known_group = {"user_id": t["hub_users"]}, {"group_id": t["hub_groups"]}
+    # A parent that comes from the same staging table exists by construction.  A hub holds
+    # exactly the staged ids, so the ids are enough to know a parent.
+    known_user, known_group = {"user_id": users}, {"group_id": groups}
+    if store_parents:
+        known_user, known_group = {"user_id": t["hub_users"]}, {"group_id": t["hub_groups"]}
     known_both = {**known_group, **known_user}
 
     t["link_admins"] = link(groups, "hk_l_admin_id", {**group, **user}, load, known_user)
@@ -61,7 +67,7 @@ def messenger_vault(
     t["sat_group_name"] = satellite(groups, group, ["group_name"], load)
     t["sat_group_private"] = satellite(groups, group, ["is_private"], load)
     t["sat_auth_history"] = satellite(
-        event_changes(group_log), {**group, **user}, ["user_id_from", "event", "event_dt"], load, known_both,
+        event_changes(group_log, known_both), {**group, **user}, ["user_id_from", "event", "event_dt"], load,
         link_key="hk_l_user_group_activity")
     return t
 
@@ -116,3 +122,41 @@ def group_conversion(vault: dict[str, DataFrame], count: int = 10, members_only:
     ratio: Column = F.col("cnt_users_in_group_with_messages") / F.col("cnt_added_users")
     return added.join(active, "hk_group_id", "left").withColumn("group_conversion", ratio).orderBy(
         F.desc("group_conversion"))
+
+
+def staged_group_conversion(
+    users: DataFrame, groups: DataFrame, dialogs: DataFrame, group_log: DataFrame, count: int = 10,
+    members_only: bool = False,
+) -> DataFrame:
+    """``group_conversion`` straight from the staged tables, where the vault is not stored.
+
+    The chosen groups go down to the scans, everything meets on business keys,
+    and only the rows of the result are hashed.  Added and active users are
+    one set of (group, user), so users are looked up once.
+    """
+    hub_groups = groups.where("id is not null").groupBy(F.col("id").alias("group_id")).agg(
+        F.min("registration_dt").alias("registration_dt"))
+    chosen = stored(oldest_groups(hub_groups, count).select("group_id"), "oldest_groups")
+    added = (
+        group_log.where("event = 'add' and user_id is not null").join(chosen, "group_id", "left_semi")
+        .select("group_id", "user_id", F.lit(1).alias("added"), F.lit(0).alias("active")))
+    written = dialogs.where("message_id is not null").select(
+        "message_id", F.col("message_group").alias("group_id"), F.col("message_from").alias("user_id"))
+    # The vault knows the group and the author of a message by two links, which meet on the message.
+    active = (
+        written.select("message_id", "group_id").join(chosen, "group_id", "left_semi")
+        .join(written.where("user_id is not null").select("message_id", "user_id"), "message_id")
+        .select("group_id", "user_id", F.lit(0).alias("added"), F.lit(1).alias("active")))
+    pairs = (
+        added.unionByName(active).groupBy("group_id", "user_id")
+        .agg(F.max("added").alias("added"), F.max("active").alias("active"))
+        .join(users.select(F.col("id").alias("user_id")), "user_id", "left_semi"))
+    counted = F.col("active") * F.col("added") if members_only else F.col("active")
+    return (
+        pairs.groupBy("group_id").agg(
+            F.sum("added").alias("cnt_added_users"),
+            F.nullif(F.sum(counted), F.lit(0)).alias("cnt_users_in_group_with_messages"))
+        .where("cnt_added_users > 0")
+        .select(known_uuid3("group_id").alias("hk_group_id"), "cnt_added_users", "cnt_users_in_group_with_messages",
+                (F.col("cnt_users_in_group_with_messages") / F.col("cnt_added_users")).alias("group_conversion"))
+        .orderBy(F.desc("group_conversion")))

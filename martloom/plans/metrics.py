@@ -8,6 +8,8 @@ from martloom.operators.writes import first_per_key, merge_insert_only, upsert_l
 
 BASE_CURRENCY = 420
 KEYS = ["date_update", "currency_from"]
+# Partial sums of a part of a day, see ``day_state``.
+STATE = ("date_update date, currency_from int, bucket long, cnt long, amount_local decimal(29,0), accounts binary")
 COLUMNS = [
     "date_update", "currency_from", "amount_total", "cnt_transactions",
     "avg_transactions_per_account", "cnt_accounts_make_transactions", "load_dt", "load_src"]
@@ -21,19 +23,30 @@ def valid_transactions(transactions: DataFrame, loaded_after=None) -> DataFrame:
     return valid.where(F.col("load_dt") > F.lit(loaded_after).cast("date").cast("timestamp_ntz"))
 
 
-def touched_days(transactions: DataFrame, loaded_after=None) -> DataFrame:
-    """All valid transactions of the (day, currency) pairs that valid rows loaded after a date belong to.
+def day_state(transactions: DataFrame) -> DataFrame:
+    """Mergeable partial sums of valid transactions: rows of ``STATE``.
 
-    A late transaction must not replace its day's total by its own amount, so
-    the whole day is aggregated again.
+    Accounts are bits of fixed-size bitmaps, one per range of account numbers,
+    so that distinct accounts stay exact when parts of a day are merged.
     """
-    if loaded_after is None:
-        return transactions
-    day = F.to_date("transaction_dt")
-    keys = valid_transactions(transactions, loaded_after).select(
-        day.alias("__day"), F.col("currency_code").alias("__currency")).distinct()
-    return transactions.join(
-        keys, (day == F.col("__day")) & (F.col("currency_code") == F.col("__currency")), "left_semi")
+    return (
+        valid_transactions(transactions)
+        .groupBy(F.to_date("transaction_dt").alias("date_update"), F.col("currency_code").alias("currency_from"),
+                 F.bitmap_bucket_number("account_number_from").alias("bucket"))
+        .agg(F.count("operation_id").alias("cnt"),
+             F.sum(F.col("amount").cast("decimal(19,0)")).cast("decimal(29,0)").alias("amount_local"),
+             F.bitmap_construct_agg(F.bitmap_bit_position("account_number_from")).alias("accounts")))
+
+
+def merged_days(state: DataFrame) -> DataFrame:
+    """One row per (day, currency) from any number of partial sums, none of them twice."""
+    return (
+        state.groupBy(*KEYS, "bucket")
+        .agg(F.sum("cnt").alias("cnt"), F.sum("amount_local").alias("amount_local"),
+             F.bitmap_count(F.bitmap_or_agg("accounts")).alias("accounts"))
+        .groupBy(*KEYS)
+        .agg(F.sum("cnt").alias("cnt_transactions"), F.sum("accounts").alias("cnt_accounts_make_transactions"),
+             F.sum("amount_local").cast("decimal(29,0)").alias("amount_local")))
 
 
 def daily_rates(currencies: DataFrame, base_currency: int) -> DataFrame:
@@ -59,6 +72,13 @@ def daily_metrics(
         .agg(F.count("operation_id").alias("cnt_transactions"),
              F.count_distinct("account_number_from").alias("cnt_accounts_make_transactions"),
              F.sum(F.col("amount").cast("decimal(19,0)")).alias("amount_local")))
+    return in_base_currency(per_day, currencies, load_dt, base_currency, base_as_one)
+
+
+def in_base_currency(
+    per_day: DataFrame, currencies: DataFrame, load_dt, base_currency: int = BASE_CURRENCY, base_as_one: bool = False,
+) -> DataFrame:
+    """The mart's rows from sums per (day, currency)."""
     rates = daily_rates(currencies, base_currency)
     if base_as_one:
         base = per_day.where(F.col("currency_from") == base_currency).select(
@@ -80,6 +100,6 @@ def merge_metrics(existing: DataFrame, fresh: DataFrame, mode: str = "insert") -
 
     ``insert`` keeps days that are already there; ``upsert`` replaces them.
     """
-    if mode == "upsert":  # ``fresh`` holds whole days, see ``touched_days``
+    if mode == "upsert":  # ``fresh`` holds whole days, see ``merged_days``
         return upsert_last_wins(existing, fresh, KEYS, ["load_dt"])
     return merge_insert_only(existing, fresh, KEYS, ["load_dt"])

@@ -266,12 +266,12 @@ def group_active_users(i: Inputs) -> DataFrame:
 
 @_query
 def group_conversion(i: Inputs) -> DataFrame:
-    return messenger.group_conversion(_messenger(i, store_parents=True))
+    return messenger.staged_group_conversion(i.users, i.groups, i.dialogs, i.group_log)
 
 
 @_query
 def group_conversion_members(i: Inputs) -> DataFrame:
-    return messenger.group_conversion(_messenger(i, store_parents=True), members_only=True)
+    return messenger.staged_group_conversion(i.users, i.groups, i.dialogs, i.group_log, members_only=True)
 
 
 # --- geo -------------------------------------------------------------------------

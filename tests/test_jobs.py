@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.bindings import AS_OF, CAMPAIGN_NOW, LOAD_DT, Inputs
-from martloom.plans import geo_marts, jobs, messenger, order_vault, settlement
+from martloom.plans import geo_marts, jobs, messenger, metrics, order_vault, settlement
 from martloom.sources import events, tables
+from martloom.sources.buckets import BucketTable
 from martloom.streaming import flow
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -157,6 +158,31 @@ def test_metrics_upsert_keeps_whole_days(spark, tmp_path):
     assert [(int(r.amount_total), r.cnt_transactions) for r in got] == [(150, 2)]
 
 
+def test_metrics_state_needs_new_transactions_only(spark, inputs, tmp_path):
+    """Late parts of the same days arrive alone; the mart equals the one made from everything, also after repeats."""
+    part = F.pmod(F.xxhash64("operation_id"), F.lit(3))
+    staged = inputs.transactions.withColumn("part", part).withColumn(
+        "load_dt", F.expr("timestamp_ntz'2024-01-01 08:00:00' + make_interval(0, 0, 0, 0, part)"))
+    parts = [staged.where(F.col("part") == n) for n in range(3)]
+
+    def mart(out):
+        columns = ["date_update", "currency_from", "amount_total", "cnt_transactions", "cnt_accounts_make_transactions"]
+        return sorted(map(tuple, tables.latest(spark, f"{out}/global_metrics").select(*columns).collect()))
+
+    for run, rows in enumerate(parts, start=1):
+        jobs.metrics_job(rows, inputs.currencies, f"{tmp_path}/a", f"2024-01-0{run} 00:00:00", run, 0, "upsert")
+    whole = metrics.daily_metrics(staged, inputs.currencies, "2024-01-03", 0)
+    want = sorted(map(tuple, whole.select(
+        "date_update", "currency_from", "amount_total", "cnt_transactions", "cnt_accounts_make_transactions").collect()))
+    assert mart(f"{tmp_path}/a") == want and len(want) > 0
+    # A run that kept its part but not its load state is repeated, under another number.
+    kept = BucketTable(spark, f"{tmp_path}/b/global_metrics_state", metrics.KEYS, metrics.STATE)
+    kept.append(metrics.day_state(parts[0]), 0)
+    for run, rows in enumerate([parts[0], staged, staged, parts[0].limit(0)], start=7):
+        jobs.metrics_job(rows, inputs.currencies, f"{tmp_path}/b", f"2024-01-{run:02d} 00:00:00", run, 0, "upsert")
+    assert mart(f"{tmp_path}/b") == want
+
+
 def test_campaign_job(spark, inputs, tmp_path):
     out = str(tmp_path)
     inputs.campaign_messages.write.parquet(f"{out}/in")

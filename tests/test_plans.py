@@ -1,5 +1,6 @@
 """Business rules of the marts on hand-made rows."""
 
+import re
 from datetime import datetime
 from decimal import Decimal
 
@@ -97,7 +98,7 @@ def test_event_changes(spark):
     assert got.where("user_id = 5").first().user_id_from is None
 
 
-def vault(spark):
+def staged(spark):
     users = spark.createDataFrame(
         [(n, f"u{n}", datetime(2020, 1, 1), "AU", 20) for n in (1, 2)],
         "id long, chat_name string, registration_dt timestamp_ntz, country string, age int")
@@ -111,7 +112,11 @@ def vault(spark):
     log = spark.createDataFrame(
         [(1, 1, 3, "add", datetime(2024, 1, 1)), (1, 9, 3, "add", datetime(2024, 1, 1)), (2, 2, 3, "add", datetime(2024, 1, 1))],
         "group_id long, user_id long, user_id_from long, event string, event_dt timestamp_ntz")
-    return messenger.messenger_vault(users, groups, dialogs, log, "2024-02-01")
+    return users, groups, dialogs, log
+
+
+def vault(spark):
+    return messenger.messenger_vault(*staged(spark), "2024-02-01")
 
 
 def test_links_need_both_parents(spark):
@@ -132,6 +137,28 @@ def test_conversion_of_the_oldest_groups(spark):
     assert got[g2].cnt_users_in_group_with_messages is None
     members = {r.hk_group_id: r for r in messenger.group_conversion(v, members_only=True).collect()}
     assert members[g1].group_conversion == 1.0
+    for only in (False, True):
+        stored = values(messenger.group_conversion(v, members_only=only))
+        assert values(messenger.staged_group_conversion(*staged(spark), members_only=only)) == stored
+
+
+def shuffles(spark, make):
+    """Shuffles of the final plan where no side is small enough to be broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    try:
+        frame = make()
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return len(re.findall(r"^[ :+|-]*(?:\*\(\d+\) )?Exchange ", plan, re.M))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_shuffles_of_the_messenger_plans(spark):
+    assert shuffles(spark, lambda: messenger.staged_group_conversion(*staged(spark))) <= 12
+    assert shuffles(spark, lambda: vault(spark)["sat_auth_history"]) <= 7
 
 
 # --- geo -------------------------------------------------------------------------------------
