@@ -24,7 +24,7 @@ from martloom.session import stored, work_dir
 
 PUT, DELETE = "put", "delete"
 GROUP = ["source", "lang", "tokenizer"]
-LEDGER = "doc_id long, source string, lang string, tokenizer string, tokens long, sign int"
+LEDGER = "doc_id long, source string, lang string, tokenizer string, tokens long, sign long"
 TOTALS = "source string, lang string, tokenizer string, documents long, tokens long"
 
 
@@ -74,7 +74,7 @@ class TokenRollup:
         paths = [f"{self.location}/{kind}/{batch}" for batch in self.committed()]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def commit(self, batch: str, changes: DataFrame) -> bool:
+    def commit(self, batch: str, changes: DataFrame, every_row: bool = False) -> bool:
         """Apply a batch once; False if it had been applied before.
 
         ``changes``: op (put or delete), doc_id, tokenizer, and for puts
@@ -83,19 +83,19 @@ class TokenRollup:
         changes nothing.  Of several changes of one document and tokenizer in a
         batch the delete counts, else the put with the largest count.  Rows
         without doc_id or tokenizer name no document and are left out.
+
+        With ``every_row`` a doc_id stands for all rows that bear it: every put
+        counts, and the puts of a document replace all its earlier rows.  Rows
+        without doc_id are added and never replaced or deleted.  Equal rows are
+        one ledger row with their number, so a hot id or text is no large group.
         """
         if batch in self.committed():
             return False
-        changes = changes.select("op", "doc_id", *GROUP, "tokens").where("doc_id is not null and tokenizer is not null")
-        one = changes.groupBy("doc_id", "tokenizer").agg(F.min_by(
-            F.struct("op", "source", "lang", "tokens"),
-            F.struct("op", -F.coalesce("tokens", F.lit(0)), F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
-        ).alias("c")).select("doc_id", "tokenizer", "c.*")
-        written = one.where(F.col("op") == PUT).select(
-            "doc_id", *GROUP, F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"), F.lit(1).alias("sign"))
+        changes = changes.select("op", "doc_id", *GROUP, "tokens").where("tokenizer is not null")
+        written, named = (self._every_row if every_row else self._one_per_document)(changes)
         if self.committed():
-            known = self.current().join(one.select("doc_id", "tokenizer"), ["doc_id", "tokenizer"], "left_semi")
-            written = written.unionByName(known.withColumn("sign", F.lit(-1)))
+            known = self.current(named).withColumn("sign", -F.col("sign"))
+            written = written.unionByName(known)
         ledger = f"{self.location}/ledger/{batch}"
         written.write.mode("overwrite").parquet(ledger)
         deltas = self.spark.read.schema(LEDGER).parquet(ledger).groupBy(*GROUP).agg(
@@ -104,10 +104,37 @@ class TokenRollup:
         self._files().create(self._path("commits", batch), True).close()
         return True
 
-    def current(self) -> DataFrame:
-        """The count in force of every document: ledger rows that no later row has taken back."""
-        key = ["doc_id", *GROUP, "tokens"]
-        return self._read("ledger", LEDGER).groupBy(*key).agg(F.sum("sign").alias("n")).where("n > 0").drop("n")
+    @staticmethod
+    def _one_per_document(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(ledger rows of the puts, documents named)."""
+        changes = changes.where("doc_id is not null")
+        one = changes.groupBy("doc_id", "tokenizer").agg(F.min_by(
+            F.struct("op", "source", "lang", "tokens"),
+            F.struct("op", -F.coalesce("tokens", F.lit(0)), F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+        ).alias("c")).select("doc_id", "tokenizer", "c.*")
+        written = one.where(F.col("op") == PUT).select(
+            "doc_id", *GROUP, F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"), F.lit(1).alias("sign"))
+        return written, one.select("doc_id", "tokenizer")
+
+    @staticmethod
+    def _every_row(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        gone = changes.where((F.col("op") == DELETE) & F.col("doc_id").isNotNull()).select("doc_id", "tokenizer").distinct()
+        puts = (
+            changes.where(F.col("op") == PUT)
+            .groupBy("doc_id", *GROUP, F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
+            .agg(F.count(F.lit(1)).alias("sign"))
+            .join(gone, ["doc_id", "tokenizer"], "left_anti"))
+        return puts, puts.select("doc_id", "tokenizer").unionByName(gone)
+
+    def current(self, named: DataFrame | None = None) -> DataFrame:
+        """The counts in force, of all documents or of those ``named`` (doc_id, tokenizer); ``sign`` is the number of equal rows.
+
+        A count is in force unless later ledger rows have taken it back.
+        """
+        rows = self._read("ledger", LEDGER)
+        if named is not None:
+            rows = rows.join(named, ["doc_id", "tokenizer"], "left_semi")
+        return rows.groupBy("doc_id", *GROUP, "tokens").agg(F.sum("sign").alias("sign")).where("sign > 0")
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, documents, tokens): the sum of all committed deltas; empty groups are left out."""
@@ -121,20 +148,23 @@ def corpus_rollup(documents: DataFrame, labels: DataFrame, tokenizer: str = "byt
 
     Three batches: all documents; new counts, with white space made single, of
     those labelled quality 0; deletes of those labelled toxic.  The deletes are
-    sent twice, as after a lost answer, and count once.
+    sent twice, as after a lost answer, and count once.  Every row counts: also
+    those without doc_id, which no label reaches, and all rows of a repeated
+    doc_id, which are revised or deleted together.  A null text has no tokens;
+    other columns are ignored.
     """
     rollup = TokenRollup(documents.sparkSession)
-    rollup.commit("1-load", count_tokens(documents, tokenizer).withColumn("op", F.lit(PUT)))
+    rollup.commit("1-load", count_tokens(documents, tokenizer).withColumn("op", F.lit(PUT)), every_row=True)
     # Texts stay where they are read: a filter of the ids picks them, and only their counts meet the labels.
     low = stored(labels.where("quality = 0 and doc_id is not null").select(F.col("doc_id").cast("long")).distinct(), "low")
     bits, _ = bloom.hash_filters(
         low.select(F.xxhash64("doc_id").alias("code")), "code", bloom.filter_bytes(low.count()))
     maybe_low = documents.where(bloom.maybe_in(bits, F.xxhash64(F.col("doc_id").cast("long"))))
     revised = count_tokens(maybe_low.withColumn("text", normalised(F.col("text"))), tokenizer)
-    rollup.commit("2-revise", revised.join(low, "doc_id", "left_semi").withColumn("op", F.lit(PUT)))
+    rollup.commit("2-revise", revised.join(low, "doc_id", "left_semi").withColumn("op", F.lit(PUT)), every_row=True)
     gone = labels.where("toxic = 1").select(
         F.lit(DELETE).alias("op"), "doc_id", F.lit(tokenizer).alias("tokenizer"),
         *[F.lit(None).cast(kind).alias(name) for name, kind in (("source", "string"), ("lang", "string"), ("tokens", "long"))])
     for _ in range(2):
-        rollup.commit("3-delete", gone)
+        rollup.commit("3-delete", gone, every_row=True)
     return rollup.totals()

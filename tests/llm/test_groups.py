@@ -257,6 +257,21 @@ def test_rollup_of_the_corpus(spark):
     assert got == dict(want)
 
 
+def test_rollup_counts_every_row(spark, docs):
+    """Rows without id, repeated rows and ids, empty and null texts, other columns; a label reaches all rows of its id."""
+    documents = docs([(None, "one two", "en", "a"), (None, "one two", "en", "a"), (1, "x", "en", "a"), (1, "x", "en", "a"),
+                      (1, "x  y", "en", "a"), (2, "gone", "en", "b"), (2, "gone too", "en", "b"), (3, None, None, "c"),
+                      (4, "", "en", "c"), (5, "z" * 300_000, "de", "c")]).withColumn("sign", F.lit(9)).withColumn("op", F.lit("x"))
+    labels = spark.createDataFrame(
+        [(1, 0, 0), (2, 1, 1), (2, 1, 1), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    size = lambda *texts: sum(len(token_rollup._encoding("byte_bpe_50k").encode_ordinary(t)) for t in texts)
+    got = {(r.source, r.lang): (r.documents, r.tokens) for r in token_rollup.corpus_rollup(documents, labels).collect()}
+    assert got == {("a", "en"): (5, size("one two", "one two", "x", "x", "x y")), ("c", None): (1, 0), ("c", "en"): (1, 0),
+                   ("c", "de"): (1, size("z" * 300_000))}
+    assert token_rollup.corpus_rollup(documents.limit(0), labels).count() == 0
+    assert token_rollup.corpus_rollup(documents, labels.limit(0)).agg(F.sum("documents")).first()[0] == 10
+
+
 def test_rollup_batches(spark):
     def batch(*rows):
         return spark.createDataFrame(
