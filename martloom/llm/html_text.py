@@ -51,6 +51,12 @@ UNWANTED = frozenset(
 # Parts of names of what can be longer than the article itself.
 REMARKS = frozenset(
     "comment comments commentlist disqus respond reply replies related recommended cookie cookies consent gdpr".split())
+# Parts of names that say what a text itself is, not where it stands.
+NOTICES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
+    "gdpr notice notices alert popup modal overlay paywall comment comments commentlist disqus respond reply replies "
+    "subscribe subscription newsletter signup".split())
+PROSE = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
 UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu".split())
 LINKED_MENU = 0.8
 # Letters from which a text is a paragraph without being marked as one.
@@ -58,10 +64,10 @@ PARAGRAPH_LETTERS = 80
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "named", "score", "letters", "linked", "commas", "links")
+    __slots__ = ("tag", "parent", "children", "dropped", "named", "notice", "score", "letters", "linked", "commas", "links")
 
     def __init__(self, tag: str, parent: "Node | None", dropped: bool):
-        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, ""
+        self.tag, self.parent, self.dropped, self.named, self.notice = tag, parent, dropped, "", False
         self.children: list[Node | str] = []
         self.score = 0.0
         self.letters = self.linked = self.commas = self.links = 0
@@ -71,21 +77,22 @@ class Node:
         return self.linked / self.letters if self.letters else 0.0
 
 
-def unwanted(attributes: str) -> tuple[bool, str]:
-    """(hidden, named): no part of the page to read; else ``"whole"`` or ``"part"`` if a class or id names something else.
+def unwanted(attributes: str) -> tuple[bool, str, bool]:
+    """(hidden, named, notice): no part of the page to read; else ``"whole"`` or ``"part"`` if a class or id names something else.
 
     ``"whole"`` if an entire name says so or a part is one of ``REMARKS``; ``"part"`` as in ``with-sidebar``.
+    ``notice`` if a part is one of ``NOTICES``.
     """
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
     style = found.get("style", "").replace(" ", "").lower()
     if (found.get("role", "").lower() in UNWANTED_ROLES or "display:none" in style
             or found.get("aria-hidden", "").lower() == "true" or " hidden" in ATTRIBUTE.sub("", attributes).lower()):
-        return True, ""
+        return True, "", False
     names = f"{found.get('class', '')} {found.get('id', '')}"
     words = UNWANTED.intersection(w.lower() for w in WORDS.findall(names))
     if not words:
-        return False, ""
-    return False, "whole" if words & REMARKS or UNWANTED & set(names.lower().split()) else "part"
+        return False, "", False
+    return False, "whole" if words & REMARKS or UNWANTED & set(names.lower().split()) else "part", bool(words & NOTICES)
 
 
 def parse(page: str) -> Node:
@@ -128,7 +135,7 @@ def parse(page: str) -> Node:
                 attributes = match["attributes"]
                 child = Node(name, node, name in DROPPED)
                 if not child.dropped and ("=" in attributes or "hidden" in attributes):
-                    hidden, child.named = unwanted(attributes)
+                    hidden, child.named, child.notice = unwanted(attributes)
                     child.dropped = hidden or child.named != ""
                 node.children.append(child)
                 if name in RAW:
@@ -240,11 +247,37 @@ def keep_text(nodes: list[Node]) -> None:
         left += open_below[node]
 
 
+def keep_prose(nodes: list[Node]) -> None:
+    """A paragraph or heading inside an article stays whatever place its name speaks of.
+
+    Not if the name says that the text is a notice, an advert or a remark, nor
+    if it holds a link, a form or the like, nor if it is less than a paragraph.
+    """
+    inside: set[Node] = set()
+    for node in nodes:  # parents come first
+        if node.parent is not None and node.parent in inside and not node.parent.dropped or (
+                node.tag in ("article", "main") and not node.dropped):
+            inside.add(node)
+        if not (node in inside and node.dropped and node.named and not node.notice and node.tag in PROSE):
+            continue
+        size, below, plain = 0, [node], True
+        while below and plain:
+            for child in below.pop().children:
+                if isinstance(child, str):
+                    size += len(" ".join(child.split()))
+                else:
+                    plain = plain and child.tag != "a" and not child.dropped
+                    below.append(child)
+        if plain and (size >= PARAGRAPH_LETTERS or node.tag[0] == "h"):
+            node.dropped = False
+
+
 def main_nodes(root: Node) -> list[Node]:
     """The best container and the siblings kept with it, in page order; empty if nothing reads like text."""
     nodes = in_order(root)
     keep_articles(nodes)
     keep_text(nodes)
+    keep_prose(nodes)
     for node in nodes:  # parents come first
         if node.parent is not None and node.parent.dropped:
             node.dropped = True
