@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martloom.llm.textbytes import LOWER, blocks
 
@@ -23,8 +23,9 @@ UNKNOWN = "und"
 WINDOW = 192
 WIDTHS = (2, 3, 4)
 FILTERS = 12
-# The training sample: at most so many documents of a language, windows of a document, and languages.
-SAMPLE_DOCUMENTS, SAMPLE_WINDOWS, MAX_LANGUAGES = 600, 6, 256
+# The training sample: at most so many documents of a language and windows of a document.  All languages are learned;
+# they share SAMPLE_TOTAL documents, with at least one each.
+SAMPLE_DOCUMENTS, SAMPLE_WINDOWS, SAMPLE_TOTAL = 600, 6, 150_000
 EPOCHS, BATCH, RATE = 6, 128, 0.02
 # Windows taken through the network at once.
 CHUNK = 256
@@ -174,26 +175,31 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit(documents: DataFrame) -> Network | None:
     """Train on ``documents`` (doc_id, text, lang): non-null lang, not held out, a bounded sample of each language.
 
-    The sample is by hash of the id and of expected size ``SAMPLE_DOCUMENTS``
-    per language, so it is the same on every run.  None if nothing is labelled.
+    The sample of a language is its rows with the smallest hashes of id and
+    text, so it is the same on every run, and rows that share an id or have
+    none are picked one by one.  Equal rows may take several places, but are
+    learned from once.  None if nothing is labelled.
     """
+    code = F.xxhash64(F.lit("sample"), "doc_id", "text")
     labelled = documents.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-        & F.coalesce(~held_out(F.col("doc_id")), F.lit(True)))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not counts:
+        & F.coalesce(~held_out(F.col("doc_id")), F.lit(True))).withColumn("code", code)
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("code"))
+    smallest = {r["lang"]: r["codes"] for r in (
+        labelled.select("lang", "code").withColumn("at", first).where(F.col("at") <= SAMPLE_DOCUMENTS)
+        .groupBy("lang").agg(F.array_sort(F.collect_list("code")).alias("codes")).collect())}
+    if not smallest:
         return None
-    part = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(SAMPLE_DOCUMENTS / n))])
-    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
+    each = max(1, min(SAMPLE_DOCUMENTS, SAMPLE_TOTAL // len(smallest)))
+    bounds = documents.sparkSession.createDataFrame(
+        [(lang, codes[:each][-1]) for lang, codes in smallest.items()], "lang string, last long")
     sample = (
-        labelled.where(place < part[F.col("lang")])
-        .select(F.col("text").cast("binary"), "lang", F.xxhash64("doc_id"))
+        labelled.join(bounds, "lang").where(F.col("code") <= F.col("last"))
+        .groupBy("lang", "code").agg(F.first("text").alias("text"))
+        .select(F.col("text").cast("binary"), "lang", "code")
         .mapInArrow(_sample_windows, "window binary, lang string").toPandas())
     sample = sample.sort_values(["lang", "window"], kind="stable")
-    if not len(sample):  # tiny tables: the sample by hash may be empty
-        return None
-    languages = sorted(counts)
+    languages = sorted(smallest)
     data = pa.array(sample["window"].tolist(), pa.binary())
     windows = np.zeros((len(sample), WINDOW), np.uint8)
     for k, text in enumerate(data.to_pylist()):

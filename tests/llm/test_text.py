@@ -40,6 +40,31 @@ def test_language_ignores_labels_of_what_it_predicts(spark):
     assert same.languages == network.languages and np.array_equal(same.weights, network.weights)
 
 
+def test_fast_path_equals_a_plain_convolution():
+    """Pair tables, the training path and a convolution byte by byte give one answer."""
+    pick = np.random.default_rng(2)
+    widths, n = language_id.WIDTHS, 3
+    network = language_id.Network(
+        ["a", "b", "c"], [pick.normal(size=(w, 256, language_id.FILTERS)).astype(np.float32) for w in widths],
+        pick.normal(size=(len(widths) * language_id.FILTERS, 3)).astype(np.float32), pick.normal(size=3).astype(np.float32))
+    windows = pick.integers(0, 256, (n, language_id.WINDOW)).astype(np.uint8)
+    span = language_id.WINDOW - max(widths) + 1
+    pooled = np.array([[max(0, *(sum(f[k, w[at + k], c] for k in range(len(f))) for at in range(span)))
+                        for f in network.filters for c in range(language_id.FILTERS)] for w in windows])
+    logits = pooled @ network.weights + network.bias
+    want = np.exp(logits - logits.max(axis=1, keepdims=True))
+    want /= want.sum(axis=1, keepdims=True)
+    assert np.allclose(network.probabilities(windows, network.pair_tables()), want, atol=1e-3)
+    assert np.allclose(network.pooled(windows)[0], pooled, atol=1e-3)
+
+
+def test_every_language_is_learned(spark, docs):
+    """More languages than any fixed number, one id for all rows of a language, ids that are null."""
+    rows = [(None if n % 2 else 1, f"word{n} " * 9 + str(k), f"l{n:03d}", "s") for n in range(300) for k in range(2)]
+    network = language_id.fit(docs(rows))
+    assert network.languages == sorted({r[2] for r in rows})
+
+
 def test_language_edges(spark, docs):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     network = language_id.fit(documents)
@@ -136,6 +161,11 @@ PROSE = "A sentence, with commas, that is long enough to be read as a paragraph
     (f"<article><p>a&nbsp;b &lt;i&gt; {PROSE}</p><ul><li>x</li><li>y</li></ul><ul class=toc><li><a href=1>one</a>"
      "<li><a href=2>two</a><li><a href=3>three</a></ul></article>", f"a b <i> {PROSE} x y"),
     ("<p>a < b, 5<6 and c > d</p>", "a < b, 5<6 and c > d"),
+    # Names of places do not take prose out of an article; names of notices, and links or little text in it, do.
+    (f"<article><p class='related-work'>{PROSE}</p><p class=search>{PROSE}</p><h2 class=header>Head</h2>"
+     f"<p class='cookie-notice'>{PROSE}</p><p class=related><a href=1>{PROSE}</a></p><p class=share>Share</p>"
+     f"<blockquote class=login>{PROSE}<form>{PROSE}</form></blockquote><p>{PROSE}</p></article>",
+     f"{PROSE} {PROSE} Head {PROSE}"),
     (f"<article><p>one<b>two</b>three {PROSE}<!-- <p>no</p> --></p></article>", f"onetwothree {PROSE}"),
 ])
 def test_page(page, want):
