@@ -193,8 +193,9 @@ def fit(documents: DataFrame) -> Network | None:
     each = max(1, min(SAMPLE_DOCUMENTS, SAMPLE_TOTAL // len(smallest)))
     bounds = documents.sparkSession.createDataFrame(
         [(lang, codes[:each][-1]) for lang, codes in smallest.items()], "lang string, last long")
+    # A row per language, which the network's classes are as well: texts are filtered where they are read.
     sample = (
-        labelled.join(bounds, "lang").where(F.col("code") <= F.col("last"))
+        labelled.join(F.broadcast(bounds), "lang").where(F.col("code") <= F.col("last"))
         .groupBy("lang", "code").agg(F.first("text").alias("text"))
         .select(F.col("text").cast("binary"), "lang", "code")
         .mapInArrow(_sample_windows, "window binary, lang string").toPandas())
