@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -37,21 +39,36 @@ def with_document(df: DataFrame, text: str, schema: str, into: str = "doc") -> D
     return df.select("*", F.explode(F.array(F.from_json(F.col(text).cast("string"), schema))).alias(into))
 
 
+BROKEN = "_broken_text"
+
+
+def _with_reason(df: DataFrame, text: str, schema: str, required: list[str]) -> DataFrame:
+    """Add the parsed text (``__doc``) and the ``reason`` why it cannot be used, NULL if it can."""
+    parsed = F.from_json(
+        F.col(text).cast("string"), f"{schema}, {BROKEN} string", {"columnNameOfCorruptRecord": BROKEN})
+    doc = F.col("__doc")
+    reason = F.when(doc.isNull() | doc[BROKEN].isNotNull(), F.lit("broken"))
+    for field in required:
+        value = reduce(lambda part, name: part[name], field.split("."), doc)
+        reason = reason.when(F.get(F.array(value), F.lit(0)).isNull(), F.lit(f"missing {field}"))
+    return df.select("*", F.explode(F.array(parsed)).alias("__doc")).withColumn("reason", reason)
+
+
 def json_rejects(df: DataFrame, text: str, schema: str, required: list[str]) -> DataFrame:
     """Rows whose JSON text cannot be used, with the ``reason``: ``broken`` or ``missing <field>``.
 
     The complement of what a parser keeps.  All columns stay, so the text can be
-    mended and sent again.
+    mended and sent again.  ``a.b`` requires a nested field.
     """
-    broken = "_broken_text"
-    parsed = F.from_json(
-        F.col(text).cast("string"), f"{schema}, {broken} string", {"columnNameOfCorruptRecord": broken})
-    doc = F.col("__doc")
-    reason = F.when(doc.isNull() | doc[broken].isNotNull(), F.lit("broken"))
-    for field in required:
-        reason = reason.when(F.get(F.array(doc[field]), F.lit(0)).isNull(), F.lit(f"missing {field}"))
-    return df.select("*", F.explode(F.array(parsed)).alias("__doc")).withColumn("reason", reason).where(
-        "reason is not null").drop("__doc")
+    return _with_reason(df, text, schema, required).where("reason is not null").drop("__doc")
+
+
+def with_checked(df: DataFrame, text: str, schema: str, required: list[str]) -> DataFrame:
+    """``with_parsed`` that also adds the ``reason`` of ``json_rejects``, NULL for a usable row.
+
+    The text is parsed once for those who keep both kinds of rows.
+    """
+    return _with_reason(df, text, schema, required).select(*df.columns, "__doc.*", "reason").drop(BROKEN)
 
 
 def with_parsed(df: DataFrame, text: str, schema: str, keep: list[str] | None = None) -> DataFrame:

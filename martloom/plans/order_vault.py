@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom import schemas
 from martloom.functions.keys import uuid3
-from martloom.functions.text import json_rejects, with_parsed
+from martloom.functions.text import json_rejects, with_checked, with_parsed
 from martloom.operators.vault import hub, lineage, link, satellite
 
 # Source name in the vault, stand-ins for what the dictionaries lack.
@@ -23,6 +23,13 @@ def parse_order_events(messages: DataFrame) -> DataFrame:
         F.get_json_object("value", "$.payload").alias("payload_text"))
 
 
+def checked_order_events(messages: DataFrame) -> DataFrame:
+    """``parse_order_events`` of every message, with its text and the ``reason`` of those that are no order event."""
+    return with_checked(messages.select("value"), "value", schemas.ORDER_EVENT, ["object_id"]).select(
+        "value", "object_id", "object_type", F.to_timestamp_ntz("sent_dttm").alias("sent_dttm"), "payload",
+        F.get_json_object("value", "$.payload").alias("payload_text"), "reason")
+
+
 def order_rejects(messages: DataFrame) -> DataFrame:
     """Messages that are no order event, with the reason."""
     return json_rejects(messages, "value", schemas.ORDER_EVENT, ["object_id"])
