@@ -42,10 +42,12 @@ def with_document(df: DataFrame, text: str, schema: str, into: str = "doc") -> D
 BROKEN = "_broken_text"
 
 
-def _with_reason(df: DataFrame, text: str, schema: str, required: list[str]) -> DataFrame:
+def _with_reason(
+    df: DataFrame, text: str, schema: str, required: list[str], options: dict[str, str] | None = None,
+) -> DataFrame:
     """Add the parsed text (``__doc``) and the ``reason`` why it cannot be used, NULL if it can."""
     parsed = F.from_json(
-        F.col(text).cast("string"), f"{schema}, {BROKEN} string", {"columnNameOfCorruptRecord": BROKEN})
+        F.col(text).cast("string"), f"{schema}, {BROKEN} string", {**(options or {}), "columnNameOfCorruptRecord": BROKEN})
     doc = F.col("__doc")
     reason = F.when(doc.isNull() | doc[BROKEN].isNotNull(), F.lit("broken"))
     for field in required:
@@ -63,12 +65,14 @@ def json_rejects(df: DataFrame, text: str, schema: str, required: list[str]) ->
     return _with_reason(df, text, schema, required).where("reason is not null").drop("__doc")
 
 
-def with_checked(df: DataFrame, text: str, schema: str, required: list[str]) -> DataFrame:
+def with_checked(
+    df: DataFrame, text: str, schema: str, required: list[str], options: dict[str, str] | None = None,
+) -> DataFrame:
     """``with_parsed`` that also adds the ``reason`` of ``json_rejects``, NULL for a usable row.
 
     The text is parsed once for those who keep both kinds of rows.
     """
-    return _with_reason(df, text, schema, required).select(*df.columns, "__doc.*", "reason").drop(BROKEN)
+    return _with_reason(df, text, schema, required, options).select(*df.columns, "__doc.*", "reason").drop(BROKEN)
 
 
 def with_parsed(df: DataFrame, text: str, schema: str, keep: list[str] | None = None) -> DataFrame:

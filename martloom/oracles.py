@@ -555,6 +555,7 @@ def _metrics() -> dict[str, str]:
         "load_with_lineage": rate_rows.format(lineage=f"{LOADED}, 'S3' as load_src"),
         "envelope_currencies": rate_rows.format(lineage=f"{LOADED}, 'Kafka-currency' as load_src"),
         "envelope_transactions": f"select {fields}, {LOADED}, 'Kafka-transaction' as load_src from t",
+        "envelope_job_transactions": f"select {fields}, {LOADED}, 'Kafka-transaction' as load_src from t",
     }
     return {name: METRICS + sql for name, sql in q.items()}
 
@@ -629,6 +630,7 @@ def _campaigns() -> dict[str, str]:
         "stream_parse": f"select {body} from c",
         "stream_dedup": "select distinct restaurant_id, adv_campaign_id from c",
         "campaign_push": f"select client_id, {body}, trigger_datetime_created from push",
+        "campaign_push_by_buckets": f"select client_id, {body}, trigger_datetime_created from push",
         "stream_fanout": "select 'topic' as sink, client_id, restaurant_id, adv_campaign_id, '' as feedback from push"
                          " union all select 'feedback', client_id, restaurant_id, adv_campaign_id, '' from push",
         "sink_json_value": "select '{\"restaurant_id\":\"' || restaurant_id || '\",\"adv_campaign_id\":\"'"

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,6 +25,8 @@ from martloom.streaming import campaigns, flow
 
 # Tables of a job that are written at the same time.
 WRITERS = 6
+# Buckets of a campaign's audience.
+AUDIENCE_BUCKETS = 64
 
 
 def _existing(spark: SparkSession, location: str, like: DataFrame) -> DataFrame:
@@ -34,7 +37,7 @@ def _existing(spark: SparkSession, location: str, like: DataFrame) -> DataFrame:
 def _side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
     """Write independent tables at the same time: small writes leave executors idle.  The first error is raised."""
     with ThreadPoolExecutor(WRITERS) as pool:
-        for done in [pool.submit(write, name) for name in names]:
+        for done in [pool.submit(copy_context().run, write, name) for name in names]:
             done.result()
 
 
@@ -273,27 +276,51 @@ def day_slices_job(source: DataFrame, column: str, out: str, until, since=None)
 
 def campaign_job(
     messages: DataFrame, subscribers: DataFrame, out: str, *sinks, now: int | None = None, every: str | None = None,
+    buckets: int = AUDIENCE_BUCKETS,
 ):
     """Offer stream -> subscribers' notifications in all sinks, with a checkpoint below ``out``.
 
-    The audience is published once, one row per client and restaurant, so that
-    no batch ranks the subscribers again.
+    Each start writes the audience once, one row per client and restaurant, in ``buckets`` by restaurant
+    (the number is fixed by the first start); a micro-batch reads those of its restaurants.
     """
-    spark = subscribers.sparkSession
-    tables.publish(campaigns.static_subscribers(subscribers), f"{out}/audience", sort_by=["restaurant_id"])
-    pushed = campaigns.push_to(messages, tables.latest(spark, f"{out}/audience"), now)
-    return flow.start(pushed, flow.fan_out(*sinks), f"{out}/checkpoint", every=every)
+    rows = campaigns.static_subscribers(subscribers).select("client_id", "restaurant_id")
+    audience = BucketTable(subscribers.sparkSession, f"{out}/audience", ["restaurant_id"], rows.schema, buckets)
+    audience.replace(rows, range(buckets))
+    offers = campaigns.first_offers(campaigns.active_campaigns(campaigns.parse_campaigns(messages), now))
+    return flow.start(offers, campaigns.to_audience(audience, flow.fan_out(*sinks)), f"{out}/checkpoint", every=every)
+
+
+def campaign_rejects_job(messages: DataFrame, out: str, every: str | None = None):
+    """Campaign messages that cannot be used -> ``out/rejects``; a stream beside ``campaign_job``, with its own checkpoint."""
+    return flow.start(
+        campaigns.campaign_rejects(messages), flow.table_sink(f"{out}/rejects"), f"{out}/checkpoint_rejects", every=every)
+
+
+def envelope_job(messages: DataFrame, out: str, load_dt, batch_id: int) -> None:
+    """A batch of mixed envelopes -> ``out/currencies``, ``out/transactions`` and ``out/envelopes_rej``, each with a reason.
+
+    Every write goes to the batch's own folder, so repeating a batch changes nothing.
+    """
+    with work_folders_removed(messages.sparkSession):
+        checked = stored(documents.checked_envelopes(messages), "envelopes")
+        rows, rejects = documents.routed(checked, F.lit(load_dt).cast("timestamp_ntz"))
+        parts = {**rows, "envelopes_rej": rejects}
+        _side_by_side(lambda name: tables.append_batch(parts[name], f"{out}/{name}", batch_id), parts)
 
 
 # --- metrics -----------------------------------------------------------------------------------
 
 def load_new_files(spark: SparkSession, location: str, out: str, table: str, schema: str, load_dt, batch_id: int, columns: list[str] | None = None) -> None:
-    """Files of a table that are new or touched since the last run -> ``out/<table>``; read it by ``loaded_files``."""
+    """Files of a table that are new or touched since the last run -> ``out/<table>``; read it by ``loaded_files``.
+
+    Their bad lines go to ``out/<table>_rej``, with the file.
+    """
     found = stored(files.list_files(spark, location, table), "found_files")
     manifest = tables.latest(spark, f"{out}/{table}_manifest")
     selected = files.files_to_load(found, manifest)
     rows = files.load_files(spark, location, schema, selected, F.lit(load_dt).cast("timestamp_ntz"), columns=columns)
     tables.append_batch(rows, f"{out}/{table}", batch_id)
+    tables.append_batch(files.rejected_lines(spark, schema, selected), f"{out}/{table}_rej", batch_id)
     tables.publish(files.updated_manifest(found, manifest), f"{out}/{table}_manifest")
 
 

@@ -611,6 +611,19 @@ def envelope_transactions(i: Inputs) -> DataFrame:
         documents.parse_envelopes(i.envelopes), F.lit(LOAD_DT).cast("timestamp_ntz"))
 
 
+@_query
+def envelope_job_transactions(i: Inputs) -> DataFrame:
+    """Two batches, the second sent again; cut copies of the messages and unknown types are rejected."""
+    out = work_dir(i.spark, "envelopes")
+    part = F.pmod(F.xxhash64("value"), F.lit(2))
+    cut = i.envelopes.select(F.expr("substring(value, 1, 30)").alias("value"))
+    other = i.envelopes.select(F.regexp_replace("value", '"object_type":"', '"object_type":"OLD').alias("value"))
+    for batch in (0, 1, 1):
+        messages = i.envelopes.where(part == batch)
+        jobs.envelope_job((messages.unionByName(cut).unionByName(other)) if batch else messages, out, LOAD_DT, batch)
+    return i.spark.read.parquet(f"{out}/transactions").drop("batch_id")
+
+
 @_query
 def json_rejects(i: Inputs) -> DataFrame:
     """Order events and envelopes of which some are cut, some lack a field, some are of an unknown type."""
@@ -773,6 +786,17 @@ def campaign_push(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(f"{where}/out").drop("batch_id")
 
 
+@_query
+def campaign_push_by_buckets(i: Inputs) -> DataFrame:
+    """The whole job: audience in buckets by restaurant, joined inside each micro-batch; the second start finds nothing new."""
+    out = work_dir(i.spark, "campaigns")
+    stream = _campaign_stream(i, out)
+    for _ in range(2):
+        jobs.campaign_job(
+            stream, i.subscribers, out, flow.table_sink(f"{out}/sent"), now=CAMPAIGN_NOW, buckets=16).awaitTermination()
+    return i.spark.read.parquet(f"{out}/sent").drop("batch_id")
+
+
 @_query
 def stream_fanout(i: Inputs) -> DataFrame:
     where = work_dir(i.spark, "fanout")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,22 +49,30 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="martloom-")
     location = f"{base.rstrip('/')}/martloom/{name}-{uuid.uuid4().hex}"
-    _made.append(location)
+    made = _made.get()
+    if made is not None:
+        made.append(location)
     return location
 
 
-_made: list[str] = []
+# Folders of the innermost ``work_folders_removed``.  Jobs in other threads have lists of their own.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 @contextmanager
 def work_folders_removed(spark: SparkSession) -> Iterator[None]:
-    """Remove the folders of ``work_dir`` and ``stored`` made inside, when a job has published its results or failed."""
-    before = len(_made)
+    """Remove the folders of ``work_dir`` and ``stored`` made inside, when a job has published its results or failed.
+
+    A thread started inside takes part if it runs in a copy of the context.
+    """
+    made: list[str] = []
+    outer = _made.set(made)
     try:
         yield
     finally:
-        while len(_made) > before:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        _made.reset(outer)
+        for location in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom import schemas
-from martloom.functions.text import json_rejects, with_parsed
+from martloom.functions.text import json_rejects, with_checked, with_parsed
 from martloom.operators import state as load_state
 from martloom.operators.writes import first_per_key, new_rows, upsert_last_wins
 
@@ -104,6 +104,37 @@ def transactions_from(envelopes: DataFrame, load_dt: Column) -> DataFrame:
     return envelope_rows(envelopes, "TRANSACTION", schemas.TRANSACTIONS, "Kafka-transaction", load_dt)
 
 
+# Object type of an envelope -> table, schema of its payload, source name, fields a row needs.
+ROUTES = {
+    "CURRENCY": ("currencies", schemas.CURRENCIES, "Kafka-currency", ["date_update", "currency_code", "currency_code_with"]),
+    "TRANSACTION": ("transactions", schemas.TRANSACTIONS, "Kafka-transaction", ["operation_id", "transaction_dt"]),
+}
+
+
+def checked_envelopes(messages: DataFrame) -> DataFrame:
+    """Envelope columns of every message, with its text and the ``reason`` of those the router cannot use."""
+    checked = with_checked(messages.select("value"), "value", schemas.ENVELOPE, ["object_type", "payload"])
+    other = F.when(~F.col("object_type").isin(*ROUTES), F.lit("unknown type"))
+    return checked.withColumn("reason", F.coalesce("reason", other))
+
+
+def routed(checked: DataFrame, load_dt: Column) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Rows of each table with lineage, and the rejects (value, reason).
+
+    A payload that is broken or lacks a field it needs rejects its envelope: ``payload broken``, ``payload missing <field>``.
+    """
+    rows: dict[str, DataFrame] = {}
+    rejects = checked.where("reason is not null").select("value", "reason")
+    for kind, (table, schema, load_src, required) in ROUTES.items():
+        payloads = checked.where((F.col("object_type") == kind) & F.col("reason").isNull()).select("value", "payload")
+        parsed = with_checked(payloads, "payload", schema, required, {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"})
+        rows[table] = parsed.where("reason is null").drop("value", "payload", "reason").withColumns(
+            {"load_dt": load_dt, "load_src": F.lit(load_src)})
+        rejects = rejects.unionByName(parsed.where("reason is not null").select(
+            "value", F.concat(F.lit("payload "), F.col("reason")).alias("reason")))
+    return rows, rejects
+
+
 def latest_documents(documents: DataFrame) -> DataFrame:
     """Newest version per document id."""
     return first_per_key(documents, ["object_id"], [F.desc("update_ts"), F.desc("object_value")])

@@ -79,6 +79,14 @@ def load_files(
     return with_lineage(good_rows(from_file), load_dt, load_src, [*kept, "file_path", "modified"])
 
 
+def rejected_lines(spark: SparkSession, schema: str, selected: DataFrame, header: bool = True) -> DataFrame:
+    """Bad lines of the selected files: (rejected_line, source_file)."""
+    paths = [row["file_path"] for row in selected.select("file_path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "rejected_line string, source_file string")
+    return rejected_rows(load_csv(spark, paths, schema, header=header))
+
+
 def newest_files(loaded: DataFrame) -> DataFrame:
     """Rows of the latest reading of every file: a file touched and loaded again replaces its old rows.
 

@@ -1,5 +1,9 @@
 """Whole jobs on the smallest data: repeated runs change nothing, later runs add."""
 
+import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from helpers import values
 from pyspark.sql import functions as F
@@ -7,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.bindings import AS_OF, CAMPAIGN_NOW, LOAD_DT, Inputs
 from martloom.plans import geo_marts, jobs, messenger, metrics, order_vault, settlement
+from martloom.session import stored, work_folders_removed
 from martloom.sources import events, tables
 from martloom.sources.buckets import BucketTable
 from martloom.streaming import flow
@@ -112,6 +117,9 @@ def test_metrics_job_over_files(spark, inputs, tmp_path):
     assert count == plain.count() and second.count() > days
     count, third = run(3)
     assert count == plain.count() and values(third) == values(second)
+    spark.createDataFrame([("header",), ("x,not a number,1,2",)], "value string").coalesce(1).write.text(f"{out}/s3/transactions_3")
+    run(4)
+    assert [r.rejected_line for r in spark.read.parquet(f"{out}/stg/transactions_rej").collect()] == ["x,not a number,1,2"]
 
 
 def test_outbox_job_after_a_stop(spark, inputs, tmp_path):
@@ -194,3 +202,49 @@ def test_campaign_job(spark, inputs, tmp_path):
     sent = spark.read.parquet(f"{out}/sent")
     assert sent.count() == sent.select("client_id", "restaurant_id", "adv_campaign_id").distinct().count() > 0
     assert spark.read.text(f"{out}/topic").count() == sent.count()
+
+
+def test_campaign_batch_opens_only_its_buckets(spark, tmp_path):
+    """A restaurant with a third of all subscribers; messages that are no campaigns go to the rejects."""
+    out = str(tmp_path)
+    subscribers = spark.range(3000).selectExpr(
+        "id", "concat('c', id) as client_id", "if(id % 3 = 0, 'hot', concat('r', id % 50)) as restaurant_id")
+    offer = lambda place, start=CAMPAIGN_NOW - 5: json.dumps({
+        "restaurant_id": place, "adv_campaign_id": "a", "adv_campaign_datetime_start": start,
+        "adv_campaign_datetime_end": CAMPAIGN_NOW + 5})
+    texts = [offer("hot"), offer("r1"), offer("hot"), offer("nobody"), offer(None), offer("r2", "soon"), "{"]
+    spark.createDataFrame([(t,) for t in texts], "value string").selectExpr(
+        "value", "timestamp'2024-01-08 00:00:00' as timestamp").coalesce(1).write.parquet(f"{out}/in")
+    stream = flow.message_stream(spark, "parquet", {}, f"{out}/in")
+    seen = []
+
+    def sink(df, batch_id):
+        seen.append(len({f.split("__bucket=")[1].split("/")[0] for f in df.inputFiles() if "__bucket=" in f}))
+        flow.table_sink(f"{out}/sent")(df, batch_id)
+
+    jobs.campaign_job(stream, subscribers, out, sink, now=CAMPAIGN_NOW, buckets=64).awaitTermination()
+    jobs.campaign_rejects_job(stream, out).awaitTermination()
+    want = subscribers.where("restaurant_id in ('hot', 'r1')").select("client_id", "restaurant_id")
+    assert values(spark.read.parquet(f"{out}/sent"), "client_id", "restaurant_id") == values(want)
+    assert max(seen) <= 3
+    assert values(spark.read.parquet(f"{out}/rejects"), "reason") == [
+        ("broken",), ("broken",), ("missing restaurant_id",)]
+
+
+def test_folders_of_other_threads_stay(spark):
+    """A job that ends does not remove the folders of one that runs in another thread."""
+    inside, ended = threading.Event(), threading.Event()
+
+    def long_job():
+        with work_folders_removed(spark):
+            rows = stored(spark.range(3), "long")
+            inside.set()
+            ended.wait(60)
+            return rows.count()
+
+    with ThreadPoolExecutor(1) as pool:
+        with work_folders_removed(spark):
+            count = pool.submit(long_job)
+            assert inside.wait(60)
+        ended.set()
+        assert count.result() == 3

@@ -143,6 +143,24 @@ def test_envelopes(spark):
     assert [(r.currency_code, float(r.currency_with_div)) for r in c] == [(410, 0.95)]
 
 
+def test_envelope_job_rejects(spark, tmp_path):
+    from martloom.plans import jobs
+    out = str(tmp_path)
+    good = {"operation_id": "1", "amount": 5, "transaction_dt": "2022-10-01 00:24:02"}
+    rate = {"date_update": "2022-10-02 00:00:00", "currency_code": 410, "currency_code_with": 460, "currency_with_div": 0.95}
+    texts = [json.dumps({"object_id": "x", "object_type": kind, "payload": payload}) for kind, payload in [
+        ("TRANSACTION", good), ("CURRENCY", rate), ("OTHER", good), (None, good), ("TRANSACTION", None),
+        ("TRANSACTION", {**good, "operation_id": None}), ("CURRENCY", {**rate, "date_update": "soon"})]] + ["{"]
+    feed = spark.createDataFrame([(t,) for t in texts], "value string")
+    for _ in range(2):
+        jobs.envelope_job(feed, out, "2024-01-01", 7)
+    jobs.envelope_job(feed.limit(0), out, "2024-01-01", 8)
+    assert values(spark.read.parquet(f"{out}/transactions"), "operation_id", "amount", "load_src") == [("1", 5, "Kafka-transaction")]
+    assert values(spark.read.parquet(f"{out}/currencies"), "currency_code", "load_src") == [(410, "Kafka-currency")]
+    assert values(spark.read.parquet(f"{out}/envelopes_rej"), "reason") == [(r,) for r in [
+        "broken", "missing object_type", "missing payload", "payload broken", "payload missing operation_id", "unknown type"]]
+
+
 def test_scan_merges_schemas_and_prunes_types(spark, tmp_path):
     where = str(tmp_path / "log")
     one = "select 1L as event_id, named_struct('message_id', 1L) as event, 'message' as event_type"
@@ -232,10 +250,56 @@ def test_order_chain_equals_batch(spark, tmp_path):
             order_vault.order_counters(lines, by), *columns)
     assert orders.vault_table(spark, f"{where}/dds", "h_order").count() == 3
     assert orders.vault_table(spark, f"{where}/dds", "l_order_product").count() == 5
+    assert values(spark.read.parquet(f"{where}/stg/rejects"), "value", "reason") == [("{broken", "broken")]
     staged = orders.staged_orders(spark, f"{where}/stg")
     assert {r.object_id: r.sent_dttm.day for r in staged.collect()} == {1: 2, 2: 1, 3: 1}
 
 
+def counter_text(user, order, name="soup", product="a"):
+    return json.dumps({"user_id": user, "product_id": product, "product_name": name, "category_id": "c",
+                       "category_name": "food", "order_id": order})
+
+
+def test_counters_hold_no_state_and_survive_repeats(spark, tmp_path):
+    where = str(tmp_path)
+
+    def run(*texts):
+        put(spark, f"{where}/in", *texts)
+        query = orders.counter_query(spark, f"{where}/in", where, fmt="parquet")
+        query.awaitTermination()
+        assert not query.lastProgress["stateOperators"]
+
+    run(counter_text("u1", "1"), counter_text("u1", "1", "broth"), counter_text("u2", "1"), "{broken",
+        json.dumps({"user_id": "u1", "product_id": "a"}))
+    run(counter_text("u1", "1", "later"), counter_text("u1", "2", "soup"), counter_text("u1", None))
+    columns = ["user_id", "product_id", "product_name", "order_cnt"]
+    want = [("u1", "a", "broth", 2), ("u2", "a", "soup", 1)]
+    assert values(orders.current_counters(spark, where), *columns) == want
+    # A batch that ran but was not committed runs again.
+    for folder, name in (("commits", "1"), ("commits", ".1.crc")):
+        os.remove(f"{where}/checkpoint_product/{folder}/{name}")
+    run()
+    assert values(orders.current_counters(spark, where), *columns) == want
+    assert sorted(r.reason for r in spark.read.parquet(f"{where}/product_rejects").collect()) == [
+        "broken", "missing order_id", "missing order_id"]
+
+
+def test_order_chain_through_a_broker_sink(spark, tmp_path):
+    """The topic is a table of (key, value) here; a broker needs only other options."""
+    where = str(tmp_path)
+    users = spark.createDataFrame([("u1", "Ann", None)], "_id string, name string, login string")
+    places = spark.createDataFrame(
+        [("r1", "Cafe", [("a", "soup")])], "_id string, name string, menu array<struct<_id: string, category: string>>")
+    send = flow.broker_sink("parquet", {"path": f"{where}/topic"}, key=["object_id"])
+    for n in (1, 2):
+        put(spark, f"{where}/in", order_text(n, "a"))
+        orders.staging_query(spark, f"{where}/in", f"{where}/stg", users, places, fmt="parquet", send=send).awaitTermination()
+    topic = spark.read.parquet(f"{where}/topic")
+    assert values(topic, "key") == [('{"object_id":1}',), ('{"object_id":2}',)]
+    orders.vault_query(spark, f"{where}/topic", f"{where}/dds", "2024-02-01", ["h_order"], fmt="parquet").awaitTermination()
+    assert orders.vault_table(spark, f"{where}/dds", "h_order").count() == 2
+
+
 def test_feedback_sink(spark, tmp_path):
     where = str(tmp_path / "feedback")
     flow.feedback_sink("parquet", {"path": where})(spark.range(2), 0)
