@@ -78,8 +78,35 @@ def spans(inside: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.flatnonzero(begins), np.flatnonzero(stops) + 1
 
 
+# Bytes of a piece of a long span.
+LONG_SPAN = 256
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of every span, all spans advanced byte by byte together."""
+    """A 64-bit hash of the bytes of every span.
+
+    Spans of up to ``LONG_SPAN`` bytes advance byte by byte together.  A longer one is the sum of the hashes of its
+    pieces, each times a power of its place, so one word of many megabytes costs no more steps than a short one.
+    """
+    length = ends - starts
+    long = np.flatnonzero(length > LONG_SPAN)
+    if not len(long):
+        return _hash_short(data, starts, ends)
+    count = -(-length[long] // LONG_SPAN)
+    first = np.concatenate([[0], np.cumsum(count)[:-1]])
+    place = np.arange(int(count.sum())) - np.repeat(first, count)
+    begin = np.repeat(starts[long], count) + place * LONG_SPAN
+    pieces = _hash_short(data, begin, np.minimum(begin + LONG_SPAN, np.repeat(ends[long], count)))
+    power = np.multiply.accumulate(np.full(int(count.max()), _STEP, np.uint64))
+    short = length <= LONG_SPAN
+    h = np.empty(len(length), np.uint64)
+    h[short] = _hash_short(data, starts[short], ends[short])
+    h[long] = mix(np.add.reduceat(pieces * power[place], first) + length[long].astype(np.uint64))
+    return h
+
+
+def _hash_short(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All spans advanced byte by byte together: as many steps as the longest has bytes."""
     length = ends - starts
     h = length.astype(np.uint64)
     live = np.flatnonzero(length > 0)

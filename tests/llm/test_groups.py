@@ -11,7 +11,7 @@ from compare import compare, duck
 from pyspark.sql import functions as F
 
 from martloom.llm import (
-    bloom, embedding_forest, exact_dedup, jaccard_join, kd_shards, language_id, packing, token_rollup)
+    bloom, embedding_forest, exact_dedup, jaccard_join, kd_shards, language_id, packing, textbytes, token_rollup)
 from martloom.llm.components import components
 from martloom.llm.queries import llm_oracles, llm_queries
 from martloom.llm.word_tokens import WordTokens
@@ -411,3 +411,32 @@ def test_pipeline_runs(spark):
     assert result.count() > 0 and "sequence_id" in result.columns
     assert corpus_pipeline.STAGES[0][1](spark, spark.read.parquet(f"{SF}/documents.parquet").limit(0), SF).count() == 0
     assert language_id.UNKNOWN == "und"
+
+
+def test_long_words_hash_in_pieces():
+    """Words around the length of a piece and of a megabyte: equal bytes give equal hashes, one other byte another one."""
+    random = np.random.default_rng(5)
+    word = random.integers(33, 127, 1 << 20).astype(np.uint8)
+    sizes = [1, 255, 256, 257, 511, 512, 513, 1 << 20]
+    parts = []
+    for size in sizes:
+        other = word[:size].copy()
+        other[size // 2] ^= 1
+        swapped = np.concatenate([word[256:512], word[:256], word[512:size]]) if size >= 512 else word[:size]
+        parts += [word[:size], word[:size], other, swapped]
+    ends = np.cumsum([len(p) for p in parts])
+    starts = ends - [len(p) for p in parts]
+    h = textbytes.hash_spans(np.concatenate(parts), starts, ends).reshape(-1, 4)
+    assert (h[:, 0] == h[:, 1]).all() and (h[:, 0] != h[:, 2]).all()
+    assert [bool(a != b) for a, b in zip(h[:, 0], h[:, 3])] == [size >= 512 for size in sizes]
+    assert len(set(h[:, 0].tolist())) == len(sizes)
+
+
+def test_long_words_in_the_join(spark):
+    """Texts of few very long words: linked like any others, and without a step for each byte."""
+    long = "x" * 3_000_000
+    words = [f"{i}{long[:200_000]}" for i in range(12)]
+    rows = [(1, long), (2, long.upper()), (3, long + "y"), (4, " ".join(words)), (5, " ".join([*words, "more"])), (6, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6}
