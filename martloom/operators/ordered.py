@@ -11,6 +11,7 @@ and the key columns must not be NULL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -67,18 +68,34 @@ def with_neighbour(
     ``columns`` maps a source column to the name of the new one.  The new
     columns are NULL for the first (last) row of a key.
     """
-    packed = F.struct(*columns)
     shift = F.lead if following else F.lag
-    out = _sliced(
-        df, keys, order, slice_by,
-        inside=lambda w: shift(packed).over(w),
-        at_edge=packed,
-        carried=lambda value, w: F.lag(value).over(w),
-        backwards=following,
-        of_keys=of_keys,
-    )
-    near = F.coalesce(F.col(_INSIDE), F.col(_CARRY))
-    return out.withColumns({new: near[old] for old, new in columns.items()}).drop(_INSIDE, _CARRY)
+    if of_keys:
+        packed = F.struct(*columns)
+        out = _sliced(
+            df, keys, order, slice_by,
+            inside=lambda w: shift(packed).over(w),
+            at_edge=packed,
+            carried=lambda value, w: F.lag(value).over(w),
+            backwards=following,
+            of_keys=of_keys,
+        )
+        near = F.coalesce(F.col(_INSIDE), F.col(_CARRY))
+        return out.withColumns({new: near[old] for old, new in columns.items()}).drop(_INSIDE, _CARRY)
+    # Only the first row of a slice (the last if ``following``) needs a value from another slice: it takes along what
+    # its own slice hands over and meets those of the other slices.  Nothing is joined back to the rows.
+    within = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    handed = F.first if following else F.last
+    rows = df.withColumn(_SLICE, slice_by).withColumns({
+        _EDGE: shift(F.lit(1)).over(within).isNull(),
+        **{f"{_INSIDE}_{new}": shift(old).over(within) for old, new in columns.items()},
+        **{f"{_CARRY}_{new}": handed(old).over(whole) for old, new in columns.items()}})
+    across = Window.partitionBy(*keys).orderBy(F.desc(_SLICE) if following else F.asc(_SLICE))
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in [*keys, _SLICE]])
+    inner = rows.where(~F.col(_EDGE)).select(*df.columns, *[F.col(f"{_INSIDE}_{new}").alias(new) for new in columns.values()])
+    edges = rows.where(F.col(_EDGE)).select(*df.columns, *[
+        F.when(known, F.lag(f"{_CARRY}_{new}").over(across)).alias(new) for new in columns.values()])
+    return inner.unionByName(edges)
 
 
 def with_last_known(

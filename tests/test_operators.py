@@ -81,6 +81,18 @@ def test_neighbours_equal_plain_windows(log):
         assert values(got, "id", "near", "near_id") == values(want, "id", "near", "near_id")
 
 
+def test_versions_join_nothing_back(spark):
+    """What crosses a slice border is never joined to the rows: Spark would guess its size and may broadcast all of it."""
+    rows = spark.sql(
+        "select cast(id % 7 as string) as k, id % 3 as v, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id) as at"
+        " from range(100)")
+    plan = versioned(rows, ["k"], ["v"], "at")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    lost = rows.selectExpr("if(k = '3', null, k) as k", "v", "at")
+    near = with_neighbour(lost, ["k"], ["at"], {"v": "before"}, F.to_date("at")).where("k is null")
+    assert near.where("before is not null").count() == 0  # a row without a key meets no other slice
+
+
 def test_last_known_equals_plain_window(log):
     w = Window.partitionBy("k").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     got = with_last_known(log, ["k"], ORDER, "x", hourly(F.col("ts")), "known")
