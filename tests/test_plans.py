@@ -288,6 +288,21 @@ def test_order_vault_sizes(spark):
         assert df.select(order_vault.primary_key(name)).distinct().count() == sizes[name]
 
 
+def test_order_vault_from_rows(spark):
+    """Tables without products come from the order rows: the same, and without the dictionaries they do not show."""
+    messages = spark.createDataFrame([(order_text(1, "ab"),), (order_text(2, "b", "u2"),), (order_text(2, ""),)], "value string")
+    users = spark.createDataFrame([("u1", "Ann", None), ("u2", "Bob", "bob")], "_id string, name string, login string")
+    places = spark.createDataFrame(
+        [("r1", "Cafe", [("a", "soup")])], "_id string, name string, menu array<struct<_id: string, category: string>>")
+    enriched = order_vault.enrich_orders(order_vault.parse_order_events(messages), users, places)
+    lines, rows = order_vault.order_lines(enriched), order_vault.order_rows(enriched)
+    want, got = order_vault.order_vault(lines, "2024-02-01"), order_vault.order_vault(lines, "2024-02-01", rows=rows)
+    for name, df in want.items():
+        assert values(got[name].select(df.columns)) == values(df), name
+    for name, joins in {"h_user": 0, "h_restaurant": 0, "h_order": 0, "l_order_user": 0, "s_order_cost": 0, "s_user_names": 1}.items():
+        assert got[name]._jdf.queryExecution().optimizedPlan().toString().count("Join") == joins, name
+
+
 # --- metrics --------------------------------------------------------------------------------------
 
 def test_daily_metrics(spark):
