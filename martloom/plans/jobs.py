@@ -336,7 +336,7 @@ def metrics_job(
     """Transactions loaded since the last run -> ``out/global_metrics``.
 
     ``upsert`` replaces the days those transactions belong to by whole ones, without reading earlier transactions:
-    partial sums with bitmaps of accounts are kept per (day, currency) in ``out/global_metrics_state`` and merged.
+    partial sums per (day, currency, account) are kept in ``out/global_metrics_state`` and merged.
     A part is named by the position it starts from, so a run that died half-way replaces its part when it is repeated.
     """
     spark = transactions.sparkSession

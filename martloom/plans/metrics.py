@@ -9,7 +9,7 @@ from martloom.operators.writes import first_per_key, merge_insert_only, upsert_l
 BASE_CURRENCY = 420
 KEYS = ["date_update", "currency_from"]
 # Partial sums of a part of a day, see ``day_state``.
-STATE = ("date_update date, currency_from int, bucket long, cnt long, amount_local decimal(29,0), accounts binary")
+STATE = "date_update date, currency_from int, account long, cnt long, amount_local decimal(29,0)"
 COLUMNS = [
     "date_update", "currency_from", "amount_total", "cnt_transactions",
     "avg_transactions_per_account", "cnt_accounts_make_transactions", "load_dt", "load_src"]
@@ -26,26 +26,24 @@ def valid_transactions(transactions: DataFrame, loaded_after=None) -> DataFrame:
 def day_state(transactions: DataFrame) -> DataFrame:
     """Mergeable partial sums of valid transactions: rows of ``STATE``.
 
-    Accounts are bits of fixed-size bitmaps, one per range of account numbers,
-    so that distinct accounts stay exact when parts of a day are merged.
+    One row per account of a day and currency, so that distinct accounts stay exact when parts of a day are merged.
+    The state has at most as many rows as there are transactions, however the account numbers are spread.
     """
     return (
         valid_transactions(transactions)
         .groupBy(F.to_date("transaction_dt").alias("date_update"), F.col("currency_code").alias("currency_from"),
-                 F.bitmap_bucket_number("account_number_from").alias("bucket"))
+                 F.col("account_number_from").alias("account"))
         .agg(F.count("operation_id").alias("cnt"),
-             F.sum(F.col("amount").cast("decimal(19,0)")).cast("decimal(29,0)").alias("amount_local"),
-             F.bitmap_construct_agg(F.bitmap_bit_position("account_number_from")).alias("accounts")))
+             F.sum(F.col("amount").cast("decimal(19,0)")).cast("decimal(29,0)").alias("amount_local")))
 
 
 def merged_days(state: DataFrame) -> DataFrame:
     """One row per (day, currency) from any number of partial sums, none of them twice."""
     return (
-        state.groupBy(*KEYS, "bucket")
-        .agg(F.sum("cnt").alias("cnt"), F.sum("amount_local").alias("amount_local"),
-             F.bitmap_count(F.bitmap_or_agg("accounts")).alias("accounts"))
+        state.groupBy(*KEYS, "account")
+        .agg(F.sum("cnt").alias("cnt"), F.sum("amount_local").alias("amount_local"))
         .groupBy(*KEYS)
-        .agg(F.sum("cnt").alias("cnt_transactions"), F.sum("accounts").alias("cnt_accounts_make_transactions"),
+        .agg(F.sum("cnt").alias("cnt_transactions"), F.count(F.lit(1)).alias("cnt_accounts_make_transactions"),
              F.sum("amount_local").cast("decimal(29,0)").alias("amount_local")))
 
 

@@ -191,6 +191,17 @@ def test_metrics_state_needs_new_transactions_only(spark, inputs, tmp_path):
     assert mart(f"{tmp_path}/b") == want
 
 
+def test_metrics_state_of_scattered_accounts_is_small(spark):
+    """Accounts far apart: the state grows with the transactions, not with the ranges their numbers fall into."""
+    rows = spark.range(200).selectExpr(
+        "cast(id as string) as operation_id", "id * 40000 + 1 as account_number_from", "1 as currency_code", "'done' as status",
+        "id as amount", "timestamp_ntz'2024-01-01 00:00:00' as transaction_dt")
+    state = metrics.day_state(rows.union(rows))
+    assert state.count() == 200 and "binary" not in dict(state.dtypes).values()
+    day = metrics.merged_days(state.union(state)).first()
+    assert (day.cnt_transactions, day.cnt_accounts_make_transactions, day.amount_local) == (800, 200, 4 * 199 * 100)
+
+
 def test_campaign_job(spark, inputs, tmp_path):
     out = str(tmp_path)
     inputs.campaign_messages.write.parquet(f"{out}/in")
