@@ -228,6 +228,16 @@ def test_channel_pairs_equal_brute_force(spark):
     assert values(never_contacted(pairs, contacts), "user_1", "user_2") == sorted(want - {gone}, key=str)
 
 
+def test_tasks_follow_the_number_of_pairs(spark):
+    """A few members in one place give many pairs: these are made and brought together by many tasks."""
+    positions = spark.range(120).selectExpr("id as user_id", "50.0D as lat", "30.0D as lng")
+    members = positions.selectExpr("user_id % 2 as channel", "user_id").union(positions.selectExpr("7L", "user_id"))
+    for leaf in (1_024, 16):
+        pairs = channel_pairs(members, positions, 1.0, leaf, task_pairs=1_000)
+        assert pairs.count() == 120 * 119 // 2
+        assert pairs.rdd.getNumPartitions() >= 20 and channel_pairs(members, positions, 1.0, leaf).rdd.getNumPartitions() == 1
+
+
 @pytest.mark.parametrize("km_apart, expected", [(0.99, 1), (1.01, 0)])
 def test_friend_distance_edge(spark, km_apart, expected):
     members = spark.createDataFrame([(1, 1), (1, 2)], "channel int, user_id int")
