@@ -145,7 +145,7 @@ def fact_deliveries(i: Inputs) -> DataFrame:
 @_query
 def unmatched_keys(i: Inputs) -> DataFrame:
     """Keys of the delivery fact that no dimension has before placeholders are added."""
-    deliveries = couriers.parse_deliveries(i.delivery_content)
+    deliveries = stored(couriers.parse_deliveries(i.delivery_content), "deliveries")
     known = couriers.parse_couriers(i.courier_content).select(uuid3("courier_id").alias("courier_id"))
     return orphans(couriers.fact_deliveries(deliveries), {
         "courier_id": known,

@@ -19,6 +19,11 @@ def con():
     return duck(SF_DIR)
 
 
+def test_delivery_texts_are_parsed_once(spark):
+    plan = QUERIES["unmatched_keys"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("from_json") + plan.count("jsontostructs") <= 1  # the list of couriers
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
