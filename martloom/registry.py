@@ -575,8 +575,8 @@ def api_snapshot_landing(i: Inputs) -> DataFrame:
 def api_incremental_landing(i: Inputs) -> DataFrame:
     where = work_dir(i.spark, "deliveries")
     early = F.get_json_object("content", "$.delivery_ts") < "2028-01-01"
-    i.delivery_content.where(early).write.text(f"{where}/landed/1")
-    i.delivery_content.write.text(f"{where}/landed/2")
+    i.delivery_content.where(early).write.text(f"{where}/landed/1", compression="gzip")
+    i.delivery_content.write.text(f"{where}/landed/2", compression="gzip")
     stamp = F.lit(LOAD_DT).cast("timestamp_ntz")
     loaded = i.spark.createDataFrame([], documents.LANDED)
     state = load_state.empty(i.spark)

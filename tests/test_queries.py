@@ -24,6 +24,13 @@ def test_delivery_texts_are_parsed_once(spark):
     assert plan.count("from_json") + plan.count("jsontostructs") <= 1  # the list of couriers
 
 
+def test_landed_texts_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("martloom.registry.work_dir", lambda _, name: f"{tmp_path}/{name}")
+    QUERIES["api_incremental_landing"](spark, SF_DIR)
+    landed = [f.suffix for f in tmp_path.glob("deliveries/landed/*/part-*")]
+    assert landed and set(landed) == {".gz"}
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
