@@ -25,6 +25,19 @@ def by_bucket(table):
     return found
 
 
+def test_first_batch_is_compared_with_nothing(spark, tmp_path, monkeypatch):
+    """No join and no copy before there are stored keys, also when the first batch is repeated."""
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    with monkeypatch.context() as only:
+        only.delattr(buckets, "known_keys")
+        only.delattr(buckets, "stored")
+        for _ in range(2):
+            buckets.append_new(rows, str(tmp_path), ["k"], 4)
+    buckets.append_new(rows.union(rows.selectExpr("concat(k, 'x')", "v")), str(tmp_path), ["k"], 5)
+    assert values(spark.read.parquet(str(tmp_path)), "k", "v", "batch_id") == [
+        ("a", 1, 4), ("ax", 1, 5), ("b", 2, 4), ("bx", 2, 5)]
+
+
 def test_upsert_leaves_other_buckets_alone(spark, tmp_path):
     table = buckets.BucketTable(spark, str(tmp_path), ["k"], "k string, v int, at int", buckets=8)
     assert not table.exists() and table.read().count() == 0
