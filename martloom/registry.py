@@ -84,8 +84,9 @@ def _delivery_tables(i: Inputs) -> tuple[DataFrame, DataFrame]:
 
 
 def _ledger_inputs(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    """Fact and dimension from the landed JSON texts."""
-    deliveries, dim = _delivery_tables(i)
+    """Fact and dimension from the landed JSON texts, which are parsed once for both."""
+    deliveries = stored(couriers.parse_deliveries(i.delivery_content), "deliveries")
+    dim = couriers.dim_couriers(couriers.parse_couriers(i.courier_content), deliveries)
     return couriers.fact_deliveries(deliveries), dim
 
 
@@ -101,7 +102,7 @@ def courier_ledger_order_floor(i: Inputs) -> DataFrame:
 
 @_query
 def courier_monthly(i: Inputs) -> DataFrame:
-    return couriers.courier_monthly(_ledger_inputs(i)[0]).select(
+    return couriers.courier_monthly(couriers.fact_deliveries(_delivery_tables(i)[0])).select(
         "courier_id", "year", "month", "orders_count", "orders_total_sum", "tip_sum", "rate")
 
 

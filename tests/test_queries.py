@@ -19,9 +19,10 @@ def con():
     return duck(SF_DIR)
 
 
-def test_delivery_texts_are_parsed_once(spark):
-    plan = QUERIES["unmatched_keys"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().lower()
-    assert plan.count("from_json") + plan.count("jsontostructs") <= 1  # the list of couriers
+@pytest.mark.parametrize("name", ["unmatched_keys", "courier_ledger", "courier_ledger_order_floor"])
+def test_delivery_texts_are_parsed_once(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "l_orderkey" not in plan  # the texts are made and parsed before, once
 
 
 def test_landed_texts_are_compressed(spark, tmp_path, monkeypatch):
