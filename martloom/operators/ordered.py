@@ -61,12 +61,14 @@ def _sliced(
 
 def with_neighbour(
     df: DataFrame, keys: list[str], order: list, columns: dict[str, str], slice_by: Column,
-    following: bool = False, of_keys: Callable | None = None,
+    following: bool = False, of_keys: Callable | None = None, few: bool = False,
 ) -> DataFrame:
     """Values of the row before (or after) each row of the same key.
 
     ``columns`` maps a source column to the name of the new one.  The new
-    columns are NULL for the first (last) row of a key.
+    columns are NULL for the first (last) row of a key.  ``few`` is for narrow
+    rows with few of them in a slice: ``df`` is computed once, but all its rows
+    pass both windows.
     """
     shift = F.lead if following else F.lag
     if of_keys:
@@ -92,6 +94,13 @@ def with_neighbour(
         **{f"{_CARRY}_{new}": handed(old).over(whole) for old, new in columns.items()}})
     across = Window.partitionBy(*keys).orderBy(F.desc(_SLICE) if following else F.asc(_SLICE))
     known = reduce(Column.__and__, [F.col(k).isNotNull() for k in [*keys, _SLICE]])
+    if few:
+        # The rows that need nothing from another slice stay with their own, so a huge key is spread here too.
+        apart = across.partitionBy(*keys, _EDGE, F.when(~F.col(_EDGE), F.col(_SLICE)))
+        met = rows.withColumns({f"{_CARRY}_{new}": F.lag(f"{_CARRY}_{new}").over(apart) for new in columns.values()})
+        return met.select(*df.columns, *[
+            F.when(~F.col(_EDGE), F.col(f"{_INSIDE}_{new}")).when(known, F.col(f"{_CARRY}_{new}")).alias(new)
+            for new in columns.values()])
     inner = rows.where(~F.col(_EDGE)).select(*df.columns, *[F.col(f"{_INSIDE}_{new}").alias(new) for new in columns.values()])
     edges = rows.where(F.col(_EDGE)).select(*df.columns, *[
         F.when(known, F.lag(f"{_CARRY}_{new}").over(across)).alias(new) for new in columns.values()])

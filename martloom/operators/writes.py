@@ -77,11 +77,11 @@ def versioned(
     )
     order, slices = [F.col("active_from")], daily(F.col("active_from"))
     distinct_versions = with_neighbour(
-        stamped, keys, order, {"__payload": "__before"}, slices
+        stamped, keys, order, {"__payload": "__before"}, slices, few=True
     ).where(~F.col("__payload").eqNullSafe(F.col("__before")))
     closed = with_neighbour(
         distinct_versions.drop("__before"), keys, order, {"active_from": "__next"}, slices,
-        following=True)
+        following=True, few=True)
     open_end = F.lit(OPEN_END).cast("timestamp_ntz")
     return closed.select(
         *keys, "__payload.*", "active_from", F.coalesce("__next", open_end).alias("active_to"))

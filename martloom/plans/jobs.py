@@ -96,8 +96,8 @@ def update_products(restaurants: DataFrame, out: str) -> DataFrame:
     stated, versions = product_tables(spark, out, items)
     touched = stated.touched(items)
     if touched:
-        both = stored(stated.read(touched).unionByName(items).distinct(), "stated_items")
-        stated.replace(both, touched)
+        stated.replace(stated.read(touched).unionByName(items).distinct(), touched)
+        both = stated.read(touched)
         products = items.select(*settlement.PRODUCT).distinct()
         fresh = settlement.product_versions(both.join(products, settlement.PRODUCT, "left_semi"))
         others = versions.read(touched).join(products, settlement.PRODUCT, "left_anti")

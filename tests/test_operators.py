@@ -93,6 +93,22 @@ def test_versions_join_nothing_back(spark):
     assert near.where("before is not null").count() == 0  # a row without a key meets no other slice
 
 
+def test_neighbours_of_few_rows_a_slice(spark, log):
+    """``few`` gives the same values, with slices of one row, of many rows and unknown ones, and computes its input once."""
+    odd = log.withColumn("k", F.expr("if(k = 6, null, k)")).withColumn("ts", F.expr("if(id % 50 = 0, null, ts)"))
+    for slices in (F.col("ts"), hourly(F.col("ts"))):
+        for following in (False, True):
+            one, two = (
+                with_neighbour(odd, ["k"], ORDER, {"v": "near", "id": "near_id"}, slices, following, few=few)
+                for few in (False, True))
+            assert values(one, "id", "k", "near", "near_id") == values(two, "id", "k", "near", "near_id")
+    w = Window.partitionBy("k").orderBy(*ORDER)
+    got = with_neighbour(log, ["k"], ORDER, {"id": "near"}, F.to_date("ts"), few=True)
+    assert values(got, "id", "near") == values(log.withColumn("near", F.lag("id").over(w)), "id", "near")
+    plan = versioned(log, ["k"], ["v"], "ts")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+
+
 def test_last_known_equals_plain_window(log):
     w = Window.partitionBy("k").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     got = with_last_known(log, ["k"], ORDER, "x", hourly(F.col("ts")), "known")
