@@ -48,19 +48,18 @@ def balanced(sizes: list[int], windows: int) -> list[list[int]]:
     while len(heap) > 1:
         _, _, sums, nodes = heapq.heappop(heap)
         _, _, others, other_nodes = heapq.heappop(heap)
-        # Sums are in falling order and without trailing zeros; windows beyond them are empty.
+        # Sums are in falling order, one for each window in use; windows beyond them are empty.
         width = min(windows, len(sums) + len(others))
-        total, node = np.zeros(width, np.int64), np.full(width, -1, np.int64)
-        total[:len(sums)], node[:len(sums)] = sums, nodes
-        back = width - len(others)
+        back, facing = width - len(others), other_nodes[::-1]
+        total, node = np.zeros(width, np.int64), np.empty(width, np.int64)
+        total[:len(sums)] = sums
         total[back:] += others[::-1]
-        facing = other_nodes[::-1]
-        both = np.flatnonzero(node[back:] >= 0)
-        node[back:] = np.where(node[back:] >= 0, node[back:], facing)
-        if len(both):
-            left.extend(node[back:][both].tolist())
-            right.extend(facing[both].tolist())
-            node[back + both] = np.arange(len(left) - len(both), len(left))
+        # In [back, len(sums)) a window of one partition meets a window of the other.
+        met = len(sums) - back
+        left += nodes[back:].tolist()
+        right += facing[:met].tolist()
+        node[:back], node[len(sums):] = nodes[:back], facing[met:]
+        node[back:len(sums)] = np.arange(len(left) - met, len(left))
         order = np.argsort(-total, kind="stable")
         total, node = total[order], node[order]
         spread = total[0] - (total[-1] if width == windows else 0)

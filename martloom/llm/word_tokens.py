@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,15 +56,23 @@ class WordTokens:
 
     def ids_of(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each word."""
-        found = [self.now.get(w) or self.before.get(w) for w in words]
-        missing = [k for k, ids in enumerate(found) if ids is None]
+        found = list(map(self.now.get, words))
+        fresh = [k for k, ids in enumerate(found) if ids is None]
+        for k in fresh:
+            found[k] = self.before.get(words[k])
+        missing = [k for k in fresh if found[k] is None]
         if missing:
             encoded = self.tokenizer.encode_batch_fast([words[k].decode() for k in missing], add_special_tokens=False)
-            for k, e in zip(missing, encoded):
-                found[k] = np.array(e.ids, "<u4").tobytes()
-        if len(self.now) + len(words) > CACHE_WORDS // 2:
-            self.before, self.now = self.now, {}
-        self.now.update(zip(words, found))
+            lists = [e.ids for e in encoded]
+            flat, end = np.fromiter(chain.from_iterable(lists), "<u4").tobytes(), 0
+            for k, ids in zip(missing, lists):
+                start, end = end, end + 4 * len(ids)
+                found[k] = flat[start:end]
+        # Only words that are new to a generation fill it.
+        if len(self.now) + len(fresh) > CACHE_WORDS // 2:
+            self.before, self.now = self.now, dict(zip(words, found))
+        else:
+            self.now.update((words[k], found[k]) for k in fresh)
         return found
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -240,6 +240,21 @@ def test_word_memory_is_bounded(monkeypatch):
     assert words.ids_of([b"alpha", b"beta"]) == first and len(words.now) + len(words.before) < 20
 
 
+def test_known_words_end_no_generation(monkeypatch):
+    """Only new words fill the memory: words met again and again make it forget nothing."""
+    from martloom.llm import word_tokens
+
+    monkeypatch.setattr(word_tokens, "CACHE_WORDS", 10)
+    words = WordTokens(packing.TOKENIZER)
+    some = [b"alpha", b"12,5", "été".encode(), b"x" * 3000]
+    first = words.ids_of(some)
+    assert first == [
+        np.array(words.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in some]
+    for _ in range(3):
+        assert words.ids_of(some) == first
+    assert set(words.now) == set(some) and not words.before
+
+
 # --- token counts -------------------------------------------------------------------------------
 
 def test_rollup_of_the_corpus(spark):
