@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import compare, duck
 from pyspark.sql import functions as F
@@ -255,6 +256,75 @@ def test_known_words_end_no_generation(monkeypatch):
     assert set(words.now) == set(some) and not words.before
 
 
+def want_of(words, text):
+    return words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def rows_of_ids(words, texts):
+    """Token ids of every text, as lists."""
+    out = []
+    for first, end, ids, at in words.encode(pa.array([t and t.encode() for t in texts], pa.binary())):
+        out += [ids[at[k]:at[k + 1]].tolist() for k in range(end - first)]
+    return out
+
+
+def test_short_words_met_again_are_not_looked_up_singly(monkeypatch):
+    """Only words that are new, or too long for the table of short words, are taken one by one."""
+    words = WordTokens(packing.TOKENIZER)
+    texts = ["the cat sat, on 12 mats; THE CAT", None, "", "a\0 a a\0\0 é.é an-extraordinarilylongword x9x8x7x6x5x4"]
+    want = [want_of(words, t or "") for t in texts]
+    single, ids_of = [], words.ids_of
+    monkeypatch.setattr(words, "ids_of", lambda some: single.extend(some) or ids_of(some))
+    assert rows_of_ids(words, texts) == want and b"cat" in single and b"a\0" in single
+    single.clear()
+    assert rows_of_ids(words, texts) == want
+    assert set(single) == {b"extraordinarilylongword", b"x9x8x7x6x5x4"}
+
+
+@pytest.mark.parametrize("slots", [1, 4, 1 << 10])
+def test_words_that_share_a_slot(monkeypatch, slots):
+    from martloom.llm import word_tokens
+
+    monkeypatch.setattr(word_tokens, "SLOTS", slots)
+    monkeypatch.setattr(textbytes.blocks, "__defaults__", (200,))
+    words = WordTokens(packing.TOKENIZER)
+    pick = np.random.default_rng(8)
+    some = [
+        *("abcdefghijklmnopqrstuvwxyz"[:k] for k in range(1, 27)), "abcdefgh\0", "abcdefgh\0\0", "\0", "\0" * 8, "\0" * 15,
+        "\0" * 16, "ééééééé", "éééééééé", "eéééééééé", "привет", "приветствие", "日本語", "日本語の文章です", "1234567", "123456789",
+        "\u00a0", "it's", "\ue000\ue000\ue000\ue000\ue000"]
+    texts = [" ".join(some[k] for k in pick.integers(0, len(some), int(pick.integers(0, 60)))) for _ in range(60)]
+    want = [e.ids for e in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert rows_of_ids(words, texts) == want
+    # A long word whose ids are more than the whole table has room for.
+    assert rows_of_ids(words, ["a " + "1" * 50_000 + " b"])[0][1:-1] == want_of(words, "1" * 50_000)
+    assert rows_of_ids(words, []) == []
+
+
+def test_words_of_letters_go_together(monkeypatch):
+    """Letters that become two words, or join with others, in lower case or normal form change no other word's ids."""
+    from martloom.llm import word_tokens
+
+    words = WordTokens(packing.TOKENIZER)
+    some = [
+        "plain", "İstanbul", "ΑΣ", "ǅ", "ª", "ﬁn", "ᄀ", "ᅡ", "ᆨ", "가", "ʼn", "ŉ", "日本語", "aª", "ß", "x" * 3000, "é", "Å", "e\u0301",
+        "\u00a0", "\u00a0x", "it's", "42", "a1", "<|endoftext|>", "</w>", "𐐀𐐨", "क्षि", "ไทย", "\U000323af\u3400"]
+    want = [np.array(want_of(words, w), "<u4").tobytes() for w in some]
+    for joined in (1, 2, 3, 256):
+        monkeypatch.setattr(word_tokens, "JOINED", joined)
+        assert words.encoded([w.encode() for w in some]) == want
+    calls, tokenizer = [], words.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            calls.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **kw)
+
+    words.tokenizer = Counted()
+    words.encoded([f"word{chr(97 + k)}".encode() for k in range(20)])
+    assert len(calls) == 1
+
+
 # --- token counts -------------------------------------------------------------------------------
 
 def test_rollup_of_the_corpus(spark):
