@@ -115,12 +115,12 @@ class WordTokens:
     def encoded(self, words: list[bytes]) -> list[bytes]:
         """What the tokenizer gives for each word.
 
-        Words of letters go through it as one text with spaces between.  None of them is without an id that ends a
-        word, so if there are as many such ids as words, each has one; else the words of that text go one by one.
+        Words of letters, also in lower case, go through it as one text with spaces between.  None of them is without an
+        id that ends a word, so if there are as many such ids as words, each has one; else that text's words go one by one.
         """
         out = [b""] * len(words)
         texts = [word.decode() for word in words]
-        letters = [k for k, text in enumerate(texts) if text.isalpha()] if self.ends_word.any() else []
+        letters = [k for k, text in enumerate(texts) if text.lower().isalpha()] if self.ends_word.any() else []
         joined = [letters[k:k + JOINED] for k in range(0, len(letters), JOINED)]
         alone = sorted(set(range(len(words))).difference(letters))
         together = [" ".join([texts[k] for k in group]) for group in joined]

@@ -321,8 +321,8 @@ def test_words_of_letters_go_together(monkeypatch):
             return tokenizer.encode_batch_fast(texts, **kw)
 
     words.tokenizer = Counted()
-    words.encoded([f"word{chr(97 + k)}".encode() for k in range(20)])
-    assert len(calls) == 1
+    words.encoded(["İzmir".encode(), *(f"word{chr(97 + k)}".encode() for k in range(20))])
+    assert len(calls) == 2 and "İzmir" in calls
 
 
 # --- token counts -------------------------------------------------------------------------------
