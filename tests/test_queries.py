@@ -32,6 +32,20 @@ def test_landed_texts_are_compressed(spark, tmp_path, monkeypatch):
     assert landed and set(landed) == {".gz"}
 
 
+@pytest.mark.parametrize("name, texts, batches", [
+    ("stream_user_product_counters", "counters/in", {"counters/checkpoint_product": 3}),
+    ("stream_restart_no_double", "restart/in", {"restart/checkpoint_category": 2}),
+    ("order_chain_counters", "chain/in", {"chain/stg/checkpoint": 2}),
+])
+def test_messages_of_the_streams_are_compressed(spark, tmp_path, monkeypatch, name, texts, batches):
+    monkeypatch.setattr("martloom.registry.work_dir", lambda _, folder: f"{tmp_path}/{folder}")
+    QUERIES[name](spark, SF_DIR)
+    written = [f for f in tmp_path.rglob("part-*") if f.suffix != ".parquet"]
+    assert any(texts in str(f) for f in written) and {f.suffix for f in written} == {".gz"}
+    for checkpoint, n in batches.items():
+        assert sum(f.name.isdigit() for f in (tmp_path / checkpoint / "commits").iterdir()) == n
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 

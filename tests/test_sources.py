@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 from datetime import datetime
 
 from helpers import values
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.operators import state as load_state
 from martloom.plans import order_vault
-from martloom.session import stored, work_dir
+from martloom.session import CLEANUP, stored, work_dir
 from martloom.sources import buckets, documents, events, files, relational, tables
 from martloom.streaming import campaigns, flow, orders
 
@@ -56,6 +57,25 @@ def test_stored_uses_the_shared_folder(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_shuffle_files_go_when_a_write_has_ended(spark, tmp_path):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+    before = shuffles()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    stored(rows, "counts")
+    tables.append_batch(rows, f"{tmp_path}/batches", 0)
+    tables.publish(rows, f"{tmp_path}/versions")
+    tables.write_texts(rows.select(F.col("k").cast("string")), f"{tmp_path}/texts")
+    buckets.BucketTable(spark, f"{tmp_path}/buckets", ["k"], rows.schema, 2).append(rows, 0)
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(CLEANUP) == "false"
+
+
 def test_slices_replace_only_their_days(spark, tmp_path):
     where = str(tmp_path / "s")
     source = spark.sql("select id, timestampadd(HOUR, cast(id * 12 as int), timestamp_ntz'2024-01-01 00:00:00') as ts from range(6)")
