@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm import (
     bloom, embedding_forest, exact_dedup, jaccard_join, kd_shards, language_id, packing, textbytes, token_rollup)
+from martloom.llm import components as components_module
 from martloom.llm.components import components
 from martloom.llm.queries import llm_oracles, llm_queries
 from martloom.llm.word_tokens import WordTokens
@@ -98,6 +99,19 @@ def test_jaccard_join(spark, docs, monkeypatch, block):
     assert got == jaccard_groups(rows)
 
 
+def test_jaccard_sends_no_table_through_the_driver(spark, docs, monkeypatch):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    found = jaccard_join.jaccard_components(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert "SortMergeJoin" in plan(found) and "Broadcast" not in plan(found)
+    seen = []
+    pulled = components_module._pulled
+    monkeypatch.setattr(components_module, "MOST_SENT", 0)
+    monkeypatch.setattr(components_module, "_pulled", lambda *a: seen.append(pulled(*a)) or seen[-1])
+    links = spark.createDataFrame([(k, k + 1) for k in range(20)], "a long, b long")
+    assert {r.root for r in components(links, "a", "b").collect()} == {0}
+    assert seen and all("Broadcast" not in plan(df) for df in seen)
+
+
 def test_jaccard_edges(spark, docs):
     empty = docs([])
     assert jaccard_join.jaccard_components(empty).count() == 0
